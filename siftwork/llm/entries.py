@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from .licenses import OP6_SQL, op6_licenses
 from .mixing import OP5_SQL, op5_mixing
+from .packing import op9_packing
+from .tokenfile import op7_token_files
 
 QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_licenses": op6_licenses,
+    "op7_token_files": op7_token_files,
+    "op9_packing": op9_packing,
 }
 
 ORACLES = {
