@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from .fingerprints import op8_fingerprints
 from .licenses import OP6_SQL, op6_licenses
 from .mixing import OP5_SQL, op5_mixing
 from .packing import op9_packing
 from .tokenfile import op7_token_files
+from .warc import op10_warc
 
 QUERIES = {
     "op5_mixing": op5_mixing,
     "op6_licenses": op6_licenses,
     "op7_token_files": op7_token_files,
+    "op8_fingerprints": op8_fingerprints,
     "op9_packing": op9_packing,
+    "op10_warc": op10_warc,
 }
 
 ORACLES = {
