@@ -6,10 +6,12 @@ from .fingerprints import op8_fingerprints
 from .licenses import OP6_SQL, op6_licenses
 from .mixing import OP5_SQL, op5_mixing
 from .packing import op9_packing
+from .simhash import op4_simhash
 from .tokenfile import op7_token_files
 from .warc import op10_warc
 
 QUERIES = {
+    "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
     "op6_licenses": op6_licenses,
     "op7_token_files": op7_token_files,
