@@ -8,9 +8,11 @@ from .mixing import OP5_SQL, op5_mixing
 from .packing import op9_packing
 from .simhash import op4_simhash
 from .tokenfile import op7_token_files
+from .topk import OP3_SQL, op3_topk
 from .warc import op10_warc
 
 QUERIES = {
+    "op3_topk": op3_topk,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
     "op6_licenses": op6_licenses,
@@ -21,6 +23,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_topk": OP3_SQL,
     "op5_mixing": OP5_SQL,
     "op6_licenses": OP6_SQL,
 }
