@@ -7,11 +7,13 @@ from .licenses import OP6_SQL, op6_licenses
 from .mixing import OP5_SQL, op5_mixing
 from .packing import op9_packing
 from .simhash import op4_simhash
+from .suffixes import op1_suffix_dedup
 from .tokenfile import op7_token_files
 from .topk import OP3_SQL, op3_topk
 from .warc import op10_warc
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_topk": op3_topk,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
