@@ -6,6 +6,7 @@ from .fingerprints import op8_fingerprints
 from .licenses import OP6_SQL, op6_licenses
 from .mixing import OP5_SQL, op5_mixing
 from .packing import op9_packing
+from .quality import op2_quality
 from .simhash import op4_simhash
 from .suffixes import op1_suffix_dedup
 from .tokenfile import op7_token_files
@@ -14,6 +15,7 @@ from .warc import op10_warc
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_quality": op2_quality,
     "op3_topk": op3_topk,
     "op4_simhash": op4_simhash,
     "op5_mixing": op5_mixing,
