@@ -135,7 +135,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     spark = vectors.sparkSession
     queries = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("data").alias("data"))
     blocks = max(1, -(-queries.count() // QUERIES))
-    slices = max(4 * partitions(spark), -(-vectors.count() // ROWS))
+    tasks = partitions(spark)
+    slices = max(tasks, min(4 * tasks, 64), -(-vectors.count() // ROWS))
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
     slice_ = F.pmod(F.xxhash64("vec_id"), F.lit(slices)).cast("int")
     sliced = vectors.select(slice_.alias("s"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), "vec_id", "data")
