@@ -53,16 +53,16 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
     return per.select("source", "source_size", target.alias("target"))
 
 
-def allotments(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17) -> DataFrame:
+def allotments(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17, keep: tuple[str, ...] = ()) -> DataFrame:
     """Each row of ``docs`` (doc_id, source, size) with its place in the schedule.
 
-    Returns doc_id, source, size, source_size, target and copies, an array with one struct for
+    Returns doc_id, source, size, the columns of ``keep``, source_size, target and copies, an array with one struct for
     each pass over the source: epoch (from 0), virtual_start, virtual_finish and words, which is
     how many of the copy's words the budget still holds (the copy at the cut is truncated).
     """
     digits = 3
     key = F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    sized = docs.select("doc_id", "source", "size", F.md5(key).alias("place")).withColumn("cell", F.substring("place", 1, digits))
+    sized = docs.select("doc_id", "source", "size", *keep, F.md5(key).alias("place")).withColumn("cell", F.substring("place", 1, digits))
     targets = source_targets(sized, weights, max_epochs)
     cells = sized.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     # At most 16 ** digits rows a source, whatever the number of documents.
@@ -81,20 +81,32 @@ def allotments(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs
         return F.struct(epoch.alias("epoch"), time(start).alias("virtual_start"), time(start + F.col("size")).alias("virtual_finish"), words.alias("words"))
 
     copies = F.transform(F.sequence(F.lit(0), F.lit(max_epochs - 1)), copy)
-    return placed.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+    return placed.select("doc_id", "source", "size", *keep, "source_size", "target", copies.alias("copies"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 17, keep: tuple[str, ...] = ()) -> DataFrame:
     """The mix itself: the taken copies in global order of virtual finish time.
 
     As all sources finish at virtual time 1, the copies with words left are exactly the prefix of
     the global order that the total budget holds.
     """
-    taken = allotments(docs, weights, max_epochs, seed).select("doc_id", "source", "size", "source_size", "target", F.inline("copies"))
+    taken = allotments(docs, weights, max_epochs, seed, keep).select("doc_id", "source", "size", *keep, "source_size", "target", F.inline("copies"))
     keys = ["virtual_finish", "source", "doc_id", "epoch"]
     return taken.where(F.col("words") > 0).repartitionByRange(partitions(docs.sparkSession), *keys).sortWithinPartitions(*keys)
 
 
+def mix_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` (doc_id, source, text and others) as mixed: a row a copy, the copy at the cut shortened.
+
+    All columns of ``docs`` come back; no column may be named as one of the schedule's.
+    """
+    keep = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
+    taken = mix(docs.withColumn("size", word_count(F.col(text))), keep=keep)
+    pieces = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    first = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
+    return taken.withColumn(text, F.when(F.col("words") < F.col("size"), first).otherwise(F.col(text))).select(*docs.columns)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda total, c: total + c["words"])
