@@ -22,8 +22,9 @@ def matches(text: Column, pattern: str, unicode: bool = False) -> Column:
 
 def keyword_hits(haystack: Column, terms: tuple[str, ...]) -> Column:
     """The terms that occur in the space-padded lower-case text, each once, in list order."""
+    # One comparison a term, not a lambda, so that the lowered text is made once.
     padded = F.concat(F.lit(" "), F.lower(haystack), F.lit(" "))
-    return F.transform(F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(padded, t)), F.trim)
+    return F.array_compact(F.array(*[F.when(F.contains(padded, F.lit(t)), F.lit(t.strip())) for t in terms]))
 
 
 def keyword_score(haystack: Column) -> Column:

@@ -85,10 +85,13 @@ def similar_pairs(rows: DataFrame, group: str, row_id: str, text: Column, thresh
     )
     size = F.size("words")
     head = F.slice("words", F.lit(1), (size - F.ceil(threshold * size) + 1).cast("int"))
-    heads = ordered.select("g", "rep", size.alias("size"), F.explode(head).alias("word"))
+    heads = ordered.select("g", "rep", size.alias("size"), F.posexplode(head).alias("place", "word")).withColumn("word", F.xxhash64("word"))
     left, right = heads.alias("a"), heads.alias("b")
-    # The size bound comes first: sets of very different sizes cannot overlap enough.
-    fits = (F.col("a.size") >= threshold * F.col("b.size")) & (F.col("b.size") >= threshold * F.col("a.size"))
+    # Sets of very different sizes cannot overlap enough, nor can sets whose first shared word comes so late
+    # that too few words are left; the tolerance keeps rounding from deciding.
+    share = F.lit(threshold / (1 + threshold) - 1e-9)
+    left_over = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place"))
+    fits = (F.col("a.size") >= threshold * F.col("b.size")) & (F.col("b.size") >= threshold * F.col("a.size")) & (left_over >= share * (F.col("a.size") + F.col("b.size")))
     met = left.join(right, (F.col("a.g") == F.col("b.g")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.rep") < F.col("b.rep")) & fits)
     pairs = met.groupBy(F.col("a.g").alias("g"), F.col("a.rep").alias("left"), F.col("b.rep").alias("right")).agg(F.count("*").alias("met"))
     # Each pair once gets its sets and is compared in full.

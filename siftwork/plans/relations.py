@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..operators import aggregates, dedup, filters, joins, sampling
-from .tables import listed, quoted, read
+from .tables import listed, quoted, read, spread
 
 QUERIES, SQL = {}, {}
 
@@ -60,7 +60,7 @@ UNION ALL SELECT * FROM (SELECT a.source, a.rep, b.rep, len(list_intersect(a.wor
   FROM c a JOIN c b ON a.source = b.source AND a.rep < b.rep) WHERE o >= {C.SIMILAR}
 """)
 def near_duplicate_pairs(spark, d):
-    return dedup.similar_pairs(read(spark, d, "documents"), "source", "doc_id", F.col("text"))
+    return dedup.similar_pairs(spread(read(spark, d, "documents")), "source", "doc_id", F.col("text"))
 
 
 @query("""
@@ -129,7 +129,7 @@ _BARE = "regexp_replace({}, '\\s+', '', 'g')"
 @query(f"SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON contains({_BARE.format('d.text')}, {_BARE.format('b.text')}) AND {_BARE.format('b.text')} <> ''")
 def reference_containment(spark, d):
     passages = read(spark, d, "benchmark").select("item_id", F.col("text").alias("passage"))
-    return joins.containing(read(spark, d, "documents").select("doc_id", "text"), passages, "text", "passage").select("doc_id", "item_id")
+    return joins.containing(spread(read(spark, d, "documents")).select("doc_id", "text"), passages, "text", "passage").select("doc_id", "item_id")
 
 
 @query(f"SELECT doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM benchmark b WHERE contains({_BARE.format('d.text')}, {_BARE.format('b.text')}))")

@@ -8,7 +8,7 @@ from .. import constants as C
 from ..functions import answers as A
 from ..functions import text as T
 from ..operators import aggregates, filters
-from .tables import listed, quoted, read
+from .tables import listed, quoted, read, spread
 
 QUERIES, SQL = {}, {}
 
@@ -26,7 +26,7 @@ def query(sql: str | None = None):
 def figures(spark, d):
     """Documents as figure records: the text as caption, its length as width."""
     ext = F.element_at(F.array(*[F.lit(x) for x in (".png", ".JPG", ".gif", ".tiff")]), (F.col("doc_id") % 4 + 1).cast("int"))
-    return read(spark, d, "documents").select(
+    return spread(read(spark, d, "documents")).select(
         "doc_id", F.lit("single").alias("image_kind"), F.when(F.col("lang") == "fr", "failed").otherwise("success").alias("status"),
         F.when(F.col("doc_id") % 50 == 0, "").otherwise(F.concat(F.lit("/img/"), F.col("doc_id").cast("string"), ext)).alias("image_path"),
         F.when(F.col("doc_id") % 7 == 0, F.left("text", F.lit(8))).otherwise(F.col("text")).alias("caption_latex"),
@@ -75,7 +75,7 @@ scores AS (SELECT doc_id, (2 * len(p) - 3 * len(n))::INTEGER AS score, p, n FROM
 @query(f"WITH {_SCORE} SELECT doc_id, score, array_to_string(p, '|') AS positive, array_to_string(list_transform(n, lambda k: trim(k)), '|') AS negative FROM scores")
 def keyword_score(spark, d):
     hit = T.keyword_score(F.col("text"))
-    rows = read(spark, d, "documents").select("doc_id", hit.alias("hit"))
+    rows = spread(read(spark, d, "documents")).select("doc_id", hit.alias("hit"))
     return rows.select("doc_id", F.col("hit.score").alias("score"), F.array_join("hit.positive", "|").alias("positive"), F.array_join("hit.negative", "|").alias("negative"))
 
 
@@ -181,7 +181,7 @@ SELECT doc_id, 'doc' || CASE WHEN safe <> '' THEN '_' || safe ELSE '' END || '_'
 FROM (SELECT doc_id, text, trim(left(regexp_replace(text, '[^A-Za-z0-9_.-]+', '_', 'g'), 80), '_') AS safe FROM documents)
 """)
 def stable_ids(spark, d):
-    return read(spark, d, "documents").select("doc_id", T.stable_id("doc", F.col("text")).alias("id"))
+    return spread(read(spark, d, "documents")).select("doc_id", T.stable_id("doc", F.col("text")).alias("id"))
 
 
 @query("""
@@ -204,7 +204,7 @@ SELECT doc_id, len(v)::INTEGER AS n, round(v[1], 6) AS first_number, round(v[2],
 """)
 def parse_numbers(spark, d):
     text = F.concat(F.format_string("%s costs %.2f, or 1,234.5%% of %d; -3e2 and +7", F.col("lang"), F.col("n_chars") / 100, F.col("doc_id")), F.lit(" "), F.col("text"))
-    rows = read(spark, d, "documents").select("doc_id", T.parse_numbers(text).alias("v"))
+    rows = spread(read(spark, d, "documents")).select("doc_id", T.parse_numbers(text).alias("v"))
     at = lambda k: F.round(F.get("v", F.lit(k)), 6)
     return rows.select("doc_id", F.size("v").alias("n"), at(0).alias("first_number"), at(1).alias("second_number"), at(3).alias("fourth_number"))
 
@@ -217,7 +217,7 @@ SELECT doc_id, trim(regexp_replace(translate(regexp_replace(regexp_replace(lower
   {quoted(C.ASCII_MARKS)}, ''), '\\s+', ' ', 'g')) AS answer FROM documents WHERE {_ASCII}
 """)
 def normalize_answers(spark, d):
-    rows = read(spark, d, "documents").where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
+    rows = spread(read(spark, d, "documents")).where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
     return rows.select("doc_id", A.normalize_answer(F.col("text"), F.lit("short_phrase")).alias("answer"))
 
 
@@ -264,7 +264,7 @@ def lenient_json(spark, d):
         .when(k == 3, F.concat(F.lit("so "), "props", F.lit(" is it")))
         .otherwise(F.col("props"))
     )
-    return read(spark, d, "events").select("event_id", F.lit("json").alias("format"), A.lenient_json(said).alias("fixed"))
+    return spread(read(spark, d, "events")).select("event_id", F.lit("json").alias("format"), A.lenient_json(said).alias("fixed"))
 
 
 @query("SELECT doc_id, (('0x' || left(sha1(doc_id::VARCHAR), 12))::BIGINT % 8)::INTEGER AS shard FROM documents")

@@ -10,7 +10,7 @@ from ..operators import documents, model, verify
 from ..sources.store import new_folder
 from ..streaming import stages
 from .rows import _SCORE
-from .tables import listed, read
+from .tables import listed, read, spread
 
 QUERIES, SQL = {}, {}
 
@@ -29,7 +29,7 @@ def query(sql: str | None = None):
 WITH {_SCORE} SELECT doc_id AS candidate_id, score > 0 AS accepted, FALSE AS weak_accept, CASE WHEN score > 0 THEN 'other_chart' ELSE '' END AS chart_types, 'other_chart' AS primary_chart_type FROM scores
 """)
 def model_stub_classify(spark, d):
-    rows = read(spark, d, "documents").select(F.col("doc_id").alias("candidate_id"), T.keyword_score(F.col("text"))["score"].alias("score"), F.left("text", F.lit(5000)).alias("prompt"))
+    rows = spread(read(spark, d, "documents")).select(F.col("doc_id").alias("candidate_id"), T.keyword_score(F.col("text"))["score"].alias("score"), F.left("text", F.lit(5000)).alias("prompt"))
     found = verify.classify(rows, model.StubClient)
     return found.select("candidate_id", "accepted", "weak_accept", F.array_join("chart_types", "|").alias("chart_types"), "primary_chart_type")
 
@@ -48,7 +48,7 @@ def model_stub_grouped(spark, d):
 SELECT doc_id AS id, (('0x' || left(sha1(text), 4))::INTEGER % 7)::VARCHAR AS answer, TRUE AS consensus, 3 AS samples FROM documents
 """)
 def model_stub_answers(spark, d):
-    rows = read(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("question"), F.lit("integer").alias("answer_type"))
+    rows = spread(read(spark, d, "documents")).select(F.col("doc_id").alias("id"), F.col("text").alias("question"), F.lit("integer").alias("answer_type"))
     return verify.answers(rows, model.StubClient).select("id", "answer", "consensus", F.size("samples").alias("samples"))
 
 
@@ -86,7 +86,7 @@ def paginate_blocks(spark, d):
 @query()
 def latex_blocks(spark, d):
     doc = F.concat(F.lit("\\title{On \\emph{"), "lang", F.lit("}}\n\\begin{document}\n\\section{First}\n"), F.replace("text", F.lit("\n"), F.lit("\n\n")), F.lit("\n\\begin{figure}\\caption{A \\textbf{plot}}\\end{figure}\n\\end{document}\n"))
-    rows = read(spark, d, "documents").select("doc_id", doc.alias("tex"))
+    rows = spread(read(spark, d, "documents")).select("doc_id", doc.alias("tex"))
     return documents.blocks(rows, "doc_id", "tex").select("doc_id", "place", "type", "text")
 
 
