@@ -98,13 +98,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
 def mix_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` (doc_id, source, text and others) as mixed: a row a copy, the copy at the cut shortened.
 
-    All columns of ``docs`` come back; no column may be named as one of the schedule's.
+    All columns of ``docs`` come back, whatever their names.
     """
-    keep = tuple(c for c in docs.columns if c not in ("doc_id", "source"))
-    taken = mix(docs.withColumn("size", word_count(F.col(text))), keep=keep)
-    pieces = F.regexp_extract_all(F.col(text), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    # The row travels whole, so that no column is named as one of the schedule's.
+    rows = docs.select("doc_id", "source", word_count(F.col(text)).alias("size"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    taken = mix(rows, keep=("row",))
+    pieces = F.regexp_extract_all(F.col("row")[text], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     first = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
-    return taken.withColumn(text, F.when(F.col("words") < F.col("size"), first).otherwise(F.col(text))).select(*docs.columns)
+    shown = F.when(F.col("words") < F.col("size"), first).otherwise(F.col("row")[text])
+    return taken.select(*[(shown if c == text else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

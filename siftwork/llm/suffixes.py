@@ -426,7 +426,10 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     spans are the maximal removed runs (start, length), in bytes; kept is what remains, joined.
     """
     tasks = partitions(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"), *carry)
+    # Carried columns travel under numbers, so that none is named as one of these.
+    named = {c: f"carried {k}" for k, c in enumerate(carry)}
+    kinds = {c: docs.schema[c].dataType for c in carry}
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(n) for c, n in named.items()])
     # The home task of a document, as _home computes it.
     home = F.pmod(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(tasks)).cast("int")
     null = F.lit(None)
@@ -444,8 +447,9 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     shared = anchors.mapInArrow(_pass2(tasks), BLOB)
     contexts = deal(beside(shared).mapInArrow(_pass3(tasks), BLOB))
     removed = contexts.mapInArrow(_pass4(tasks), BLOB)
-    carried = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carry)
-    return beside(removed, *carry).mapInArrow(_pass5(len(carry)), f"doc_id long, {carried}n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
+    carried = "".join(f"`{n}` {kinds[c].simpleString()}, " for c, n in named.items())
+    kept = beside(removed, *named.values()).mapInArrow(_pass5(len(carry)), f"doc_id long, {carried}n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
+    return kept.withColumnsRenamed({n: c for c, n in named.items()})
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
