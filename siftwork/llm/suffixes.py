@@ -113,11 +113,11 @@ def anchor_runs(pieces: list[bytes]) -> tuple[np.ndarray, ...]:
     return piece[lead], inside[lead], np.diff(np.r_[lead, len(at)]), hashes[at[lead]] * np.uint64(0x94D049BB133111EB)
 
 
-def pack(*columns: np.ndarray, data: bytes = b"") -> bytes:
+def pack(*columns: np.ndarray, data: bytes = b"", level: int = 1) -> bytes:
     """Columns of one length and free bytes as one compressed value; bytes of equal weight together."""
     parts = [np.array([len(columns[0])], "<u8").tobytes()]
     parts += [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), c.dtype.itemsize).T.tobytes() for c in columns]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([*parts, data]))
+    return zstandard.ZstdCompressor(level=level).compress(b"".join([*parts, data]))
 
 
 def unpack(blob: bytes, *types: str) -> tuple:
@@ -163,6 +163,34 @@ class _Out:
             self.rows = []
 
 
+def _blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]:
+    """(kind, blob) of rows (bucket, kind, blob), one blob in memory beside its batch."""
+    for batch in batches:
+        for kind, blob in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+            yield kind, blob.as_py()
+
+
+def _deal_documents(tasks: int):
+    """Documents (doc_id, key, text, carried columns) to their tasks, a compressed Arrow stream a batch and task (1)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+        out = _Out()
+        for batch in batches:
+            for t, part in _split(_home(batch.column(1).to_numpy(), tasks)):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as writer:
+                    writer.write_batch(batch.take(pa.array(part)))
+                out.add(t, 1, sink.getvalue().to_pybytes())
+            yield from out.batches()
+
+    return run
+
+
+def _documents(blob: bytes) -> pa.RecordBatch:
+    return next(iter(pa.ipc.open_stream(blob)))
+
+
 def _home(key: np.ndarray, tasks: int) -> np.ndarray:
     """The task of a document, by the low half of its key, which is all that anchors carry."""
     return ((key.astype(np.uint64) & np.uint64(0xFFFFFFFF)) % np.uint64(tasks)).astype(np.int64)
@@ -276,25 +304,26 @@ def _pass3(tasks: int):
         for t, part in _split((code[rows] >> np.uint64(32)).astype(np.int64)):
             part = rows[part]
             own = b"".join([joined[a:b] for a, b in zip(starts[part].tolist(), (starts[part] + lengths[part]).tolist(), strict=True)])
-            out.add(t, 0, pack((code[part] & np.uint64(0xFFFFFFFF)).astype(np.uint32), doc_id[part], key[part], first[part], count[part], data=own))
+            out.add(t, 0, pack((code[part] & np.uint64(0xFFFFFFFF)).astype(np.uint32), doc_id[part], key[part], first[part], count[part], data=own, level=3))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, columns, shared = _Out(), [], None
         held, data, size = [], [], 0
-        for batch in batches:
-            for _, kind, blob, doc_id, key, text in zip(*(c.to_pylist() for c in batch.columns[:6]), strict=True):
-                if not kind:
-                    columns.append(unpack(blob, *SHARED)[:4])
-                    continue
-                if shared is None:
-                    shared = [np.concatenate(c) for c in zip(*columns, strict=True)] if columns else [np.empty(0, t) for t in SHARED]
-                    order = np.lexsort((shared[1], shared[0]))
-                    shared, columns = [c[order] for c in shared], []
+        for kind, blob in _blobs(batches):
+            if not kind:
+                columns.append(unpack(blob, *SHARED)[:4])
+                continue
+            if shared is None:
+                shared = [np.concatenate(c) for c in zip(*columns, strict=True)] if columns else [np.empty(0, t) for t in SHARED]
+                order = np.lexsort((shared[1], shared[0]))
+                shared, columns = [c[order] for c in shared], []
+            docs = _documents(blob)
+            for doc_id, key, text in zip(docs.column(0).to_pylist(), docs.column(1).to_pylist(), docs.column(2), strict=True):
                 low = np.uint32(key & 0xFFFFFFFF)
                 a, b = np.searchsorted(shared[0], low, "left"), np.searchsorted(shared[0], low, "right")
                 if a == b:
                     continue
-                raw = text.encode()
+                raw = text.as_py().encode()
                 first, count, code = (c[a:b] for c in shared[1:])
                 fits = first.astype(np.int64) + count + LENGTH - 1 <= len(raw)
                 first, count, code = first[fits], count[fits], code[fits]
@@ -392,20 +421,17 @@ def _pass5(carry: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns, removed = [], None
-        for batch in batches:
-            kinds = batch.column(1).to_pylist()
-            docs = sum(1 for kind in kinds if kind)
-            for blob in batch.column(2).slice(0, len(kinds) - docs):
-                columns.append(unpack(blob.as_py(), *REMOVED)[:3])
-            if not docs:
+        for kind, blob in _blobs(batches):
+            if not kind:
+                columns.append(unpack(blob, *REMOVED)[:3])
                 continue
             if removed is None:
                 removed = [np.concatenate(c) for c in zip(*columns, strict=True)] if columns else [np.empty(0, t) for t in REMOVED]
                 order = np.argsort(removed[0], kind="stable")
                 removed, columns = [c[order] for c in removed], []
-            own = batch.slice(len(kinds) - docs)
+            own = _documents(blob)
             sizes, spans, kept = [], [], []
-            for key, text in zip(own.column(4).to_pylist(), own.column(5), strict=True):
+            for key, text in zip(own.column(1).to_pylist(), own.column(2), strict=True):
                 raw = text.as_py().encode()
                 a, b = np.searchsorted(removed[0], key, "left"), np.searchsorted(removed[0], key, "right")
                 runs = _merged(removed[1][a:b].astype(np.int64), removed[2][a:b].astype(np.int64)) if a < b else []
@@ -414,8 +440,8 @@ def _pass5(carry: int):
                 edges = [0, *(e for run in runs for e in run), len(raw)]
                 kept.append(raw if not runs else b"".join([raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)]))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
-            arrays = [own.column(3), *own.columns[6 : 6 + carry], pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *own.schema.names[6 : 6 + carry], "n_bytes", "spans", "kept"])
+            arrays = [own.column(0), *own.columns[3 : 3 + carry], pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *own.schema.names[3 : 3 + carry], "n_bytes", "spans", "kept"])
 
     return run
 
@@ -430,18 +456,14 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     named = {c: f"carried {k}" for k, c in enumerate(carry)}
     kinds = {c: docs.schema[c].dataType for c in carry}
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"), *[F.col(c).alias(n) for c, n in named.items()])
-    # The home task of a document, as _home computes it.
-    home = F.pmod(F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(tasks)).cast("int")
-    null = F.lit(None)
 
     def deal(rows: DataFrame) -> DataFrame:
         return rows.repartitionById(tasks, F.col("bucket"))
 
     def beside(blobs: DataFrame, *more: str) -> DataFrame:
-        """A document task's packed rows, then its documents."""
-        first = blobs.select("bucket", F.lit(0).alias("kind"), "blob", null.cast("long").alias("doc_id"), null.cast("long").alias("key"), null.cast("string").alias("text"), *[null.cast(docs.schema[c].dataType).alias(c) for c in more])
-        own = docs.select(home.alias("bucket"), F.lit(1).alias("kind"), null.cast("binary").alias("blob"), "doc_id", "key", "text", *more)
-        return deal(first.union(own)).sortWithinPartitions("kind")
+        """A document task's packed rows (0), then its documents (1)."""
+        own = docs.select("doc_id", "key", "text", *more).mapInArrow(_deal_documents(tasks), BLOB)
+        return deal(blobs.withColumn("kind", F.lit(0)).union(own)).sortWithinPartitions("kind")
 
     anchors = deal(docs.select("key", "text").mapInArrow(_pass1(tasks), BLOB))
     shared = anchors.mapInArrow(_pass2(tasks), BLOB)
