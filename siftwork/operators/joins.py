@@ -67,9 +67,13 @@ def containing(texts: DataFrame, passages: DataFrame, text: str, passage: str) -
 
     found = meet(F.regexp_extract_all("bare text", F.lit(_ANCHOR), F.lit(1)), wanted.where("head <> ''"))
     plain = wanted.where("head = ''")
-    for n in [r[0] for r in plain.select(F.least(F.length("bare passage"), F.lit(12)).alias("n")).distinct().collect()]:
+    short = F.least(F.length("bare passage"), F.lit(12))
+
+    def cuts(n: int) -> Column:
         last = F.length("bare text") - n + 1
         places = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        of_length = plain.where(F.least(F.length("bare passage"), F.lit(12)) == n).withColumn("head", F.left("bare passage", F.lit(n)))
-        found = found.unionByName(meet(F.transform(places, lambda i, n=n: F.substring("bare text", i, F.lit(n))), of_length))
+        return F.transform(places, lambda i: F.substring("bare text", i, F.lit(n)))
+
+    for n in [r[0] for r in plain.select(short).distinct().collect()]:
+        found = found.unionByName(meet(cuts(n), plain.where(short == n).withColumn("head", F.left("bare passage", F.lit(n)))))
     return found
