@@ -53,8 +53,9 @@ def figure_records(spark: SparkSession, root: str, years: range = range(2020, 20
 
     Folders of other years are pruned by the path before a file is opened.
     """
-    globs = [f"{root}/arxiv_{y % 100:02d}[0-9][0-9]/arXiv_src_*/*/*_extracted_figs*/*.json" for y in years]
-    raw = spark.read.text(globs, wholetext=True).select(F.col("_metadata.file_path").alias("json_path"), F.col("value").alias("raw"))
+    buckets = ",".join(f"{y % 100:02d}" for y in years)
+    pattern = f"{root}/arxiv_{{{buckets}}}[0-9][0-9]/arXiv_src_*/*/*_extracted_figs*/*.json"
+    raw = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("json_path"), F.col("value").alias("raw"))
     parsed = raw.withColumn("record", F.try_parse_json("raw"))
     is_object = F.coalesce(F.schema_of_variant("record").startswith("OBJECT"), F.lit(False))
     return project_records(parsed.where(is_object)), parsed.where(~is_object).select("json_path", F.lit("not a JSON object").alias("error"))
