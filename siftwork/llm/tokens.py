@@ -9,31 +9,44 @@ might fall inside a pre-token, and tokenizers with other rules, are encoded whol
 from __future__ import annotations
 
 import json
-import re
 from array import array
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
-CACHE_CHUNKS = 600_000
+CACHE_CHUNKS = 1_000_000
 #: Longer chunks, and whole texts, are not kept.
 CACHE_LENGTH = 64
 #: Characters of text that are taken apart at once; bounds the memory of the chunk lists.
 STEP_CHARS = 1_000_000
 
-_TWO_SPACES = re.compile(r"\s\s|\x01")
-_UNIT_SEPARATORS = re.compile(r"[\x1c-\x1f]")  # white space to str.split, not to the tokenizers
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
+#: White space to str.split, but not to the tokenizers.
+_UNIT_SEPARATORS = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: White space that meets white space, and the mark below.
+_MEETING = ("  ", "\n\n", " \n", "\n ", "\x01")
+
+
 def _word_chunks(text: str) -> list[str] | None:
-    return None if _UNIT_SEPARATORS.search(text) else text.split()
+    return None if any(c in text for c in _UNIT_SEPARATORS) else text.split()
 
 
 def _space_chunks(text: str) -> list[str] | None:
-    """Cut before every space and around every line feed; none where white space meets white space."""
-    if _TWO_SPACES.search(text):
+    """Cut before every space and line feed; none where one meets another.
+
+    A chunk lacks the space that it starts with; the first, which has none, is marked instead.
+    """
+    if any(c in text for c in _MEETING):
         return None
-    return text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
+    return ("\x01" + text).replace("\n", " \n").split(" ")
+
+
+def _source(chunk: str) -> str:
+    """The text that a chunk of ``_space_chunks`` stands for."""
+    if chunk[:1] == "\n":
+        return chunk
+    return chunk[1:] if chunk[:1] == "\x01" else " " + chunk
 
 
 def _rules(path: str) -> str:
@@ -59,8 +72,6 @@ def _byte_symbols() -> dict[int, int]:
     return dict(zip((b for b in range(256) if b not in plain), range(0x100, 0x200), strict=False))
 
 
-#: A run of letters that no normalizer step but lower-casing changes, then marks: two pre-tokens.
-_SIMPLE = re.compile(r"( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?%&*#$|)-]*)").fullmatch
 _SYMBOLS = _byte_symbols()
 
 
@@ -73,6 +84,9 @@ class ChunkEncoder:
         self.tokenizer, self.kind = Tokenizer.from_file(path), _rules(path)
         self.model = self.tokenizer.model
         self.chunks = {"word": _word_chunks, "space": _space_chunks}.get(self.kind, lambda text: None)
+        self.marks = dict(zip(".,;:!?%", self._plain([*".,;:!?%"]), strict=True)) if self.kind else {}
+        self.line = self._plain(["\n"])[0] if self.kind == "space" else b""
+        self.lead = chr(_SYMBOLS[0x20]) if self.kind == "space" else ""
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.cache: dict[str, bytes] = {}
 
@@ -86,40 +100,59 @@ class ChunkEncoder:
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _missing(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks: the file's model alone where the steps before it are known, else all of it."""
-        found, rest, lower, tokenize = {}, [], self.kind == "word", self.model.tokenize
+    def _missing(self, chunks: list[str]) -> dict[str, bytes | None]:
+        """Ids of chunks: the file's model alone where the steps before it are known, else all of it.
+
+        A chunk that begins or ends with other white space has none: its border may be no pre-token's.
+        """
+        found, rest, lower, tokenize = {}, {}, self.kind == "word", self.model.tokenize
         for chunk in chunks:
-            simple = self.kind and _SIMPLE(chunk)
-            if not simple:
-                rest.append(chunk)
+            # Most are letters, or letters and one mark: two pre-tokens, for the model alone.
+            lead, head, letters, mark = self.lead, b"", chunk, b""
+            if not chunk.isalpha():
+                if chunk[:1] == "\n":
+                    lead, head, letters = "", self.line, chunk[1:]
+                if not letters.isalpha():
+                    letters, mark = letters[:-1], self.marks.get(letters[-1:])
+            if mark is not None and letters.isalpha() and max(letters) <= "\u00ff":
+                if lower:
+                    letters = letters.lower()
+                if not letters.isascii():
+                    letters = letters.encode().decode("latin-1").translate(_SYMBOLS)
+                found[chunk] = head + array("I", [t.id for t in tokenize(lead + letters)]).tobytes() + mark
                 continue
-            ids = array("I")
-            for part in simple.groups():
-                if part:
-                    part = (part.lower() if lower else part).encode().decode("latin-1").translate(_SYMBOLS)
-                    ids.extend([t.id for t in tokenize(part)])
-            found[chunk] = ids.tobytes()
-        return found | dict(zip(rest, self._plain(rest), strict=True))
+            text = chunk if lower else _source(chunk)
+            if not lower and len(text) > 1 and (text[-1].isspace() or text[1].isspace()):
+                found[chunk] = None
+            else:
+                rest[chunk] = text
+        return found | dict(zip(rest, self._plain(list(rest.values())), strict=True))
 
     def _few(self, texts: list[str]) -> list[bytes]:
         get, rows, new = self.cache.get, [], {}
         for text in texts:
             chunks = self.chunks(text)
-            known = [None] if chunks is None else list(map(get, chunks))
-            holes = [k for k, ids in enumerate(known) if ids is None]
-            chunks = [text] if chunks is None else chunks
-            for k in holes:
-                new[chunks[k]] = b""
-            rows.append((known, chunks, holes))
+            known, holes = [] if chunks is None else list(map(get, chunks)), []
+            try:
+                at = -1
+                while True:
+                    at = known.index(None, at + 1)
+                    holes.append(at)
+                    new[chunks[at]] = b""
+            except ValueError:
+                pass
+            rows.append((text, known, chunks, holes))
         new = self._missing(list(new))
-        for known, chunks, holes in rows:
+        out = []
+        for text, known, chunks, holes in rows:
             for k in holes:
                 known[k] = new[chunks[k]]
+            whole = chunks is None or (holes and None in known)
+            out.append(self._plain([text])[0] if whole else b"".join(known))
         # Frequent chunks come early, so a full cache keeps what it has.
-        fit = ((c, ids) for c, ids in new.items() if len(c) <= CACHE_LENGTH)
+        fit = ((c, ids) for c, ids in new.items() if ids is not None and len(c) <= CACHE_LENGTH)
         self.cache.update(islice(fit, max(0, CACHE_CHUNKS - len(self.cache))))
-        return [b"".join(known) for known, _, _ in rows]
+        return out
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text, in order; a null text has none."""
