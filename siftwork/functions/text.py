@@ -223,3 +223,25 @@ def truthy(value: Column, kind: str) -> Column:
     else:
         found = value != 0
     return F.coalesce(found, F.lit(False))
+
+
+def within(path: Column, roots: list[str]) -> Column:
+    """Whether a path without ``..`` lies in one of the folders; a folder's name must match as a whole."""
+    plain = F.regexp_replace(F.coalesce(path, F.lit("")), "/(\\./)*/*", "/")
+    inside = reduce(Column.__or__, [(plain == r.rstrip("/")) | plain.startswith(r.rstrip("/") + "/") for r in roots], F.lit(False))
+    return inside & ~plain.rlike(r"(^|/)\.\.(/|$)")
+
+
+def prompt(template: str, context: Column | None = None, limit: int = 5000, **fields: Column) -> Column:
+    """A template with ``{name}`` places filled from columns; the context is appended, cut to ``limit`` characters."""
+    import re
+
+    parts = re.split(r"\{(\w+)\}", template)
+    filled = [F.lit(p) if k % 2 == 0 else F.coalesce(fields[p].cast("string"), F.lit("")) for k, p in enumerate(parts)]
+    tail = [] if context is None else [F.lit("\n\n"), F.left(F.coalesce(context, F.lit("")), F.lit(limit))]
+    return F.concat(*filled, *tail)
+
+
+def is_wanted_paper(paper_id: Column, year: Column) -> Column:
+    """Papers of the wanted years by id and by folder; the id is matched at its start only."""
+    return F.coalesce(paper_id.rlike(C.PAPER_ID) & year.between(2020, 2025), F.lit(False))

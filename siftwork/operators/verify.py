@@ -142,3 +142,24 @@ def captions(rows: DataFrame, factory: Callable[[], ModelClient], how: Calling =
         "caption_id": F.concat(F.lit("caption_"), F.col("candidate_id").cast("string")), "caption_verified": ~filters.caption_failed(caption) & F.col("call_error").isNull(),
         "schema_version": F.lit(C.CAPTION_SCHEMA),
     })
+
+
+def reasoning(rows: DataFrame, factory: Callable[[], ModelClient], regenerate: int = 1, how: Calling = Calling()) -> DataFrame:  # noqa: B008
+    """Reasoning for verified answers, asked again where its answer differs; what never matches goes to ``error``.
+
+    Columns: id, prompt, answer, answer_type. A round asks only for the rows that the rounds before left unmatched; a row
+    without a matching text is a dead letter and never a row with the answer alone.
+    """
+    from ..sources.store import checkpoint
+
+    left, found = rows, None
+    for attempt in range(regenerate + 1):
+        asked = left.withColumn("call settings", F.to_json(F.struct(F.lit("reason").alias("task"), F.lit(attempt).alias("attempt"))))
+        replied = call_model(asked, "prompt", factory, "call settings", how=how).drop("call settings")
+        said = checkpoint(with_reasoning(replied.withColumnRenamed("raw_response", "response"), "response", "answer", "answer_type"))
+        good = said.where(F.col("final_answer_matches") & F.col("call_error").isNull())
+        bad = said.where(~F.col("final_answer_matches") | F.col("call_error").isNotNull())
+        found = good if found is None else found.unionByName(good)
+        left = bad.select(*rows.columns)
+    failed = bad.withColumn("call_error", F.coalesce("call_error", F.lit("final answer does not match")))
+    return found.unionByName(failed).withColumnRenamed("call_error", "error")

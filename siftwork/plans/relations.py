@@ -311,3 +311,41 @@ def round_robin_shards(spark, d):
     numbered = sampling.number_rows(read(spark, d, "documents").select("doc_id"), [F.col("doc_id")])
     return numbered.select("doc_id", (F.col("row_index") % 8).cast("int").alias("shard"))
 
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN '/own/' || doc_id || '.png' WHEN doc_id % 5 = 1 THEN '/json/' || doc_id || '.png' WHEN doc_id % 5 = 2 THEN '/json/x' || doc_id || '.png'
+  WHEN doc_id % 5 = 3 THEN '/json/x' || doc_id || '.webp' ELSE '/own/' || doc_id || '.png' END AS image_path FROM documents
+""")
+def image_resolution(spark, d):
+    """Each record's image: as declared, beside its JSON, or by its JSON's stem; a few are nowhere."""
+    from ..sources.files import resolve_image
+
+    n, s = F.col("doc_id") % 5, F.col("doc_id").cast("string")
+    rows = read(spark, d, "documents").select("doc_id", F.concat(F.lit("/own/"), s, F.lit(".png")).alias("declared"), F.concat(F.lit("/json/x"), s, F.lit(".json")).alias("json"))
+    there = F.when(n == 0, F.concat(F.lit("/own/"), s, F.lit(".png"))).when(n == 1, F.concat(F.lit("/json/"), s, F.lit(".png"))).when(n == 2, F.concat(F.lit("/json/x"), s, F.lit(".png"))).when(n == 3, F.concat(F.lit("/json/x"), s, F.lit(".webp")))
+    files = read(spark, d, "documents").select(there.alias("path")).where("path IS NOT NULL")
+    return resolve_image(rows, files, F.col("declared"), F.col("json")).select("doc_id", "image_path")
+
+
+@query("SELECT value, n, row_number() OVER (ORDER BY n DESC, first)::INTEGER AS place FROM (SELECT source AS value, count(*) AS n, min(doc_id) AS first FROM documents GROUP BY source)")
+def counter_order(spark, d):
+    """Counts, largest first, ties by first occurrence."""
+    per = read(spark, d, "documents").groupBy(F.col("source").alias("value")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+    return sampling.number_rows(per, [F.desc("n"), F.col("first")]).select("value", "n", (F.col("row_index") + 1).cast("int").alias("place"))
+
+
+@query("""
+SELECT d.doc_id, f.images, coalesce(f.caption, 'own ' || d.lang) AS caption FROM documents d
+LEFT JOIN (SELECT doc_id, 'a' || quality || ',b' || toxic AS images, 'label ' || quality AS caption FROM labels) f USING (doc_id)
+""")
+def figure_blocks(spark, d):
+    """Blocks and the figures of their paper and number."""
+    from ..operators.documents import with_figures
+
+    blocks = read(spark, d, "documents").select("doc_id", F.lit(1).alias("figure_index"), F.concat(F.lit("own "), "lang").alias("caption"))
+    labels = read(spark, d, "labels").withColumn("label", F.concat(F.lit("label "), F.col("quality").cast("string")))
+    figures = labels.select("doc_id", F.lit(1).alias("figure_index"), F.lit("1.json").alias("json_name"), F.concat(F.lit("a"), F.col("quality").cast("string")).alias("image_name"), F.col("label").alias("caption_text"))
+    more = labels.select("doc_id", F.lit(1), F.lit("2.json"), F.concat(F.lit("b"), F.col("toxic").cast("string")), F.lit("second"))
+    found = with_figures(blocks, figures.union(more), "doc_id")
+    return found.select("doc_id", F.nullif(F.array_join("images", ","), F.lit("")).alias("images"), "caption")

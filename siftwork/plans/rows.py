@@ -321,3 +321,35 @@ def html_escape(spark, d):
 def hash_distance(spark, d):
     raw = F.col("text").cast("binary")
     return read(spark, d, "documents").select("doc_id", T.hamming_hex(F.left(F.md5(raw), F.lit(15)), F.left(F.sha1(raw), F.lit(15))).alias("bits"))
+
+
+@query("""
+SELECT doc_id, regexp_matches(id, '^(20|21|22|23|24|25)[0-9]{2}\\.[0-9]+') AND y BETWEEN 2020 AND 2025 AS wanted, n_chars > 3000 OR lang = 'fr' OR contains(source, '_merged_') AS merged
+FROM (SELECT *, printf('%d%02d.%d', 18 + doc_id % 10, doc_id % 12, doc_id) AS id, 2018 + doc_id % 10 AS y FROM documents)
+""")
+def paper_filter(spark, d):
+    n = F.col("doc_id")
+    paper = F.format_string("%d%02d.%d", 18 + n % 10, n % 12, n)
+    merged = filters.is_merged(F.col("n_chars") > 3000, F.when(F.col("lang") == "fr", "merged_figure"), F.col("source"))
+    return read(spark, d, "documents").select("doc_id", T.is_wanted_paper(paper, 2018 + n % 10).alias("wanted"), merged.alias("merged"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 'success' WHEN event_id % 3 = 1 THEN NULL ELSE event_type END AS status FROM events")
+def status_default(spark, d):
+    absent, null, given = F.lit("{}"), F.lit('{"status": null}'), F.to_json(F.struct(F.col("event_type").alias("status")))
+    k = F.col("event_id") % 3
+    rows = read(spark, d, "events").select("event_id", F.try_parse_json(F.when(k == 0, absent).when(k == 1, null).otherwise(given)).alias("record"))
+    return rows.select("event_id", filters.with_status(rows, "record").alias("status"))
+
+
+@query("SELECT doc_id, 'Classify ' || doc_id || ' in ' || lang || '.' || chr(10) || chr(10) || left(text, 5000) AS prompt, lang || ' ' || source AS joined, CASE WHEN doc_id % 2 = 0 THEN doc_id::INTEGER ELSE 0 END AS whole FROM documents")
+def prompt_templates(spark, d):
+    asked = T.prompt("Classify {id} in {lang}.", F.col("text"), id=F.col("doc_id"), lang=F.col("lang"))
+    whole = T.safe_int(F.when(F.col("doc_id") % 2 == 0, F.col("doc_id").cast("string")).otherwise("x"))
+    return read(spark, d, "documents").select("doc_id", asked.alias("prompt"), T.clean_text(F.array("lang", "source"), array=True).alias("joined"), whole.alias("whole"))
+
+
+@query("SELECT page_id, page_id % 4 IN (0, 1) AS inside FROM pages")
+def path_guard(spark, d):
+    tail = F.element_at(F.array(F.lit("/data/figs/a.png"), F.lit("/data/./figs//b/c.png"), F.lit("/data/figs/../x"), F.lit("/data/figs2/a")), (F.col("page_id") % 4 + 1).cast("int"))
+    return read(spark, d, "pages").select("page_id", T.within(tail, ["/data/figs/"]).alias("inside"))

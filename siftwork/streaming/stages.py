@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..functions.text import shard_of
 from ..sources.tables import read_or_none
@@ -88,3 +89,47 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "10 minutes
     """Runs of a user's events without a gap: start, end of the last event plus the gap, events."""
     rows = events.withWatermark("ts", late) if events.isStreaming else events
     return rows.groupBy("user_id", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+
+
+def is_complete(spark: SparkSession, table: str, expected: int) -> bool:
+    """Whether a stage's table holds what it should, so that the stage need not run."""
+    held = read_or_none(spark, table)
+    return held is not None and held.count() == expected
+
+
+def complete_in_rounds(rows: DataFrame, table: str, key: list[str], rounds: list[Callable[[DataFrame], DataFrame]], target: int = 0) -> DataFrame:
+    """Run each round's work on the rows whose key is still missing, until all (or ``target``) are there.
+
+    Rounds are bounded: a row that no round completes is left missing, and the caller sees it by an anti join.
+    """
+    spark = rows.sparkSession
+    for work in rounds:
+        held = read_or_none(spark, table)
+        left = rows if held is None else rows.join(held.select(*key).distinct(), key, "left_anti")
+        if (target and held is not None and held.count() >= target) or left.isEmpty():
+            break
+        insert_if_absent(work(left), table, key)
+    return spark.read.parquet(table)
+
+
+class Progress(StreamingQueryListener):
+    """Rows and batches of the streams of a session: ``spark.streams.addListener(Progress())``."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        self.ended: dict[str, str | None] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.rows.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        key = str(event.progress.id)
+        self.rows[key] = self.rows.get(key, 0) + event.progress.numInputRows
+        self.batches[key] = self.batches.get(key, 0) + 1
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended[str(event.id)] = event.exception

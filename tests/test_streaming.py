@@ -73,3 +73,33 @@ def test_event_time(spark, sf, tmp_path):
     query.awaitTermination()
     assert spark.table("days").agg(F.sum("n")).first()[0] == events.count()
     assert stages.sessions(events).agg(F.sum("n")).first()[0] == events.count()
+
+
+def test_rounds_and_guards(spark):
+    table = new_folder(spark, "rounds")
+    rows = spark.range(10)
+    assert not stages.is_complete(spark, table, 10)
+    first = stages.complete_in_rounds(rows, table, ["id"], [lambda r: r.where("id < 4"), lambda r: r.where("id % 2 = 0"), lambda r: r.where("id < 9")])
+    assert sorted(r.id for r in first.collect()) == list(range(9))
+    assert stages.complete_in_rounds(rows, table, ["id"], [lambda r: r]).count() == 10 and stages.is_complete(spark, table, 10)
+    few = new_folder(spark, "few")
+    assert stages.complete_in_rounds(rows, few, ["id"], [lambda r: r.where("id < 5")] * 9, target=5).count() == 5
+
+
+def test_progress_counts_rows(spark):
+    import time
+
+    folder = new_folder(spark, "progress")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    lot(spark, f"{folder}/in", range(7))
+    progress = stages.Progress()
+    spark.streams.addListener(progress)
+    try:
+        query = stages.run_stage(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/cp", ["id"])
+        query.awaitTermination()
+        until = time.time() + 20
+        while str(query.id) not in progress.ended and time.time() < until:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(progress)
+    assert progress.rows[str(query.id)] == 7 and progress.ended[str(query.id)] is None
