@@ -15,16 +15,22 @@ from pyspark.sql import functions as F
 from .common import checkpoint
 
 
+def _apart(least: DataFrame) -> DataFrame:
+    """The minima as a table of their own: joined as they come from their aggregation, they would tie the join to its
+    partitions, and AQE could not split a node that most links share."""
+    return checkpoint(least)
+
+
 def _larger_to_smallest(links: DataFrame) -> DataFrame:
     """Each node's larger neighbours, linked to the smallest of the node and its neighbours."""
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
+    least = _apart(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m")))
     return both.where("v > u").join(least, F.col("u") == F.col("w")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _smaller_to_smallest(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours, linked to the smallest of them."""
-    least = links.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w")
+    least = _apart(links.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "w"))
     joined = links.join(least, F.col("u") == F.col("w"))
     moved = joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct()
