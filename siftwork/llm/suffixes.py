@@ -14,14 +14,16 @@ the earliest are removed. Hashes choose candidates and never decide.
 The passes:
 1. documents -> anchors, by the K-gram's task. Within a batch a K-gram is sent once; if it occurs
    again there, the others are known to be shared and go straight to their document's task.
-2. K-gram tasks -> shared anchors, back to their document's task.
+2. K-gram tasks -> shared anchors, back to their document's task; the few names of hot K-grams.
 3. documents and their shared anchors -> contexts, by the K-gram's task. Contexts that repeat within
-   a batch are sent once (the earliest); the others are removed already.
+   a batch are sent once (the earliest); the others are removed already. Contexts of a hot K-gram go window by
+   window, by the window's own hash.
 4. K-gram tasks: suffix arrays -> removed windows, by the document's task.
 5. documents and their removed windows -> what is kept.
 
 Scale: rows between passes are packed columns, one a batch and task. A passage in any share of
-the documents sends one entry a batch to its task. The text moves twice (passes 3 and 5). Memory
+the documents sends one entry a batch to its task, and a short line in any share of them, amid different
+text, is spread window by window. The text moves twice (passes 3 and 5). Memory
 is bounded by a partition's share of anchors or contexts and one batch of text; texts of any
 length are worked through in pieces.
 
@@ -41,7 +43,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import partitions, table
+from .common import checkpoint, partitions, table
 from .deepshallow import first_of_class, sort_strings
 
 LENGTH, K = 100, 36
@@ -139,7 +141,7 @@ def _split(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     yield from zip(tasks.tolist(), np.split(order, begins[1:]), strict=True)
 
 
-ANCHOR = ("<u4", "<u4", "u1", "<u4")  # document, first window, windows, gram (of the task)
+ANCHOR = ("<u4", "<u4", "u1", "<u4", "<u4")  # document, first window, windows, gram (of the task), times in the batch
 SHARED = ("<u4", "<u4", "u1", "<u8")  # document, first window, windows, task and gram
 CONTEXT = ("<u4", "<i8", "<i8", "<u4", "u1")  # gram, doc_id, key, first window, windows
 REMOVED = ("<i8", "<u4", "<u4")  # key, first byte, last byte + 1
@@ -234,6 +236,8 @@ def _pass1(tasks: int):
             order = np.argsort(gram, kind="stable")
             lead = np.r_[True, gram[order][1:] != gram[order][:-1]][: len(order)]
             shared = ~(lead & np.r_[lead[1:], True][: len(order)])
+            times = np.empty(len(order), np.uint32)
+            times[order] = np.bincount(np.cumsum(lead) - 1)[np.cumsum(lead) - 1]
             task = ((gram & np.uint64(0xFFFFFFFF)) % np.uint64(tasks)).astype(np.int64)
             high = (gram >> np.uint64(32)).astype(np.uint32)
             code = (task.astype(np.uint64) << np.uint64(32)) | high
@@ -243,14 +247,21 @@ def _pass1(tasks: int):
                 rows = np.sort(rows)
                 for t, part in _split(to[rows]):
                     part = rows[part]
-                    out.add(t, kind, pack(doc[part], first[part], count[part], name[part]))
+                    out.add(t, kind, pack(doc[part], first[part], count[part], name[part], *([] if kind == 2 else [times[part]])))
             yield from out.batches()
 
     return run
 
 
+#: A gram with more anchors than this, and more than this share of its task's, is dealt window by window.
+HOT, HOT_A_TASK = 2000, 20
+
+
 def _pass2(tasks: int):
-    """Of a gram task's anchors, those whose gram came more than once, to their document's task."""
+    """Of a gram task's anchors, those whose gram came more than once, to their document's task (0); names of hot grams (2).
+
+    A task names fewer than ``HOT_A_TASK`` hot grams, so all their names together have a bound.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, columns, words, mine = _Out(), [], [], 0
@@ -260,15 +271,19 @@ def _pass2(tasks: int):
                     out.add(bucket, 0, blob)
                 else:
                     mine = bucket
-                    columns.append(unpack(blob, *ANCHOR)[:4])
+                    columns.append(unpack(blob, *ANCHOR)[:5])
                     words.append(np.full(len(columns[-1][0]), kind, bool))
             yield from out.batches()
         if columns:
-            doc, first, count, gram = (np.concatenate(c) for c in zip(*columns, strict=True))
-            _, group, times = np.unique(gram, return_inverse=True, return_counts=True)
-            # Words only count here: their anchors are with their documents since pass 1.
-            rows = np.flatnonzero((times[group] > 1) & ~np.concatenate(words))
+            doc, first, count, gram, times = (np.concatenate(c) for c in zip(*columns, strict=True))
+            names, group, sent = np.unique(gram, return_inverse=True, return_counts=True)
             code = (np.uint64(mine) << np.uint64(32)) | gram.astype(np.uint64)
+            total = np.bincount(group, times)
+            hot = np.flatnonzero(total > max(HOT, total.sum() / HOT_A_TASK))
+            if len(hot):
+                out.add(mine, 2, ((np.uint64(mine) << np.uint64(32)) | names[hot].astype(np.uint64)).tobytes())
+            # Words only count here: their anchors are with their documents since pass 1.
+            rows = np.flatnonzero((sent[group] > 1) & ~np.concatenate(words))
             for t, part in _split(_home(doc[rows], tasks)):
                 part = rows[part]
                 out.add(t, 0, pack(doc[part], first[part], count[part], code[part]))
@@ -290,8 +305,12 @@ def _send_removed(out: _Out, kind: int, tasks: int, key: np.ndarray, begin: np.n
         out.add(t, kind, pack(key[part].astype(np.int64), begin[part].astype(np.uint32), end[part].astype(np.uint32)))
 
 
-def _pass3(tasks: int):
-    """Contexts of shared anchors by gram task (0); removed bytes already certain, by document's task (1)."""
+def _pass3(tasks: int, hot: np.ndarray):
+    """Contexts of shared anchors by gram task (0); removed bytes already certain, by document's task (1).
+
+    The contexts of a hot gram would meet in one task, so each of their windows goes alone, as a context of
+    one window, to a task by its own hash: equal windows still meet, different ones spread.
+    """
 
     def flush(out: _Out, held: list[tuple], data: list[bytes]) -> None:
         code, doc_id, key, first, count = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -301,10 +320,28 @@ def _pass3(tasks: int):
         again = np.flatnonzero(leader != np.arange(len(leader)))
         _send_removed(out, 1, tasks, key[again], first[again], first[again].astype(np.int64) + lengths[again])
         rows = np.flatnonzero(leader == np.arange(len(leader)))
+        spread = np.isin(code[rows], hot)
+        send(out, rows[~spread], joined, starts, lengths, code, doc_id, key, first, count)
+        if spread.any():
+            rows = rows[spread]
+            n = count[rows].astype(np.int64)
+            of = np.repeat(rows, n)
+            inside = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+            begin, whole, place = starts[of] + inside, np.full(len(of), LENGTH), first[of].astype(np.int64) + inside
+            leader = first_of_class(*sort_strings(joined, begin, whole), _ranks(doc_id[of], key[of], place))
+            again = np.flatnonzero(leader != np.arange(len(leader)))
+            _send_removed(out, 1, tasks, key[of][again], place[again], place[again] + LENGTH)
+            own = np.flatnonzero(leader == np.arange(len(leader)))
+            name = gram_hashes(np.frombuffer(joined, np.uint8), LENGTH)[begin[own]] * np.uint64(0x94D049BB133111EB)
+            task = (name & np.uint64(0xFFFFFFFF)) % np.uint64(tasks)
+            name = (task << np.uint64(32)) | (name >> np.uint64(32))
+            send(out, np.arange(len(own)), joined, begin[own], whole[own], name, doc_id[of][own], key[of][own], place[own].astype(np.uint32), np.ones(len(own), np.uint8))
+
+    def send(out: _Out, rows: np.ndarray, joined: bytes, starts: np.ndarray, lengths: np.ndarray, code: np.ndarray, *columns: np.ndarray) -> None:
         for t, part in _split((code[rows] >> np.uint64(32)).astype(np.int64)):
             part = rows[part]
             own = b"".join([joined[a:b] for a, b in zip(starts[part].tolist(), (starts[part] + lengths[part]).tolist(), strict=True)])
-            out.add(t, 0, pack((code[part] & np.uint64(0xFFFFFFFF)).astype(np.uint32), doc_id[part], key[part], first[part], count[part], data=own, level=3))
+            out.add(t, 0, pack((code[part] & np.uint64(0xFFFFFFFF)).astype(np.uint32), *[c[part] for c in columns], data=own, level=3))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, columns, shared = _Out(), [], None
@@ -466,8 +503,10 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
         return deal(blobs.withColumn("kind", F.lit(0)).union(own)).sortWithinPartitions("kind")
 
     anchors = deal(docs.select("key", "text").mapInArrow(_pass1(tasks), BLOB))
-    shared = anchors.mapInArrow(_pass2(tasks), BLOB)
-    contexts = deal(beside(shared).mapInArrow(_pass3(tasks), BLOB))
+    shared = checkpoint(anchors.mapInArrow(_pass2(tasks), BLOB))
+    names = shared.where("kind = 2").select("blob").collect()
+    hot = np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(r.blob, np.uint64) for r in names)])
+    contexts = deal(beside(shared.where("kind = 0")).mapInArrow(_pass3(tasks, hot), BLOB))
     removed = contexts.mapInArrow(_pass4(tasks), BLOB)
     carried = "".join(f"`{n}` {kinds[c].simpleString()}, " for c, n in named.items())
     kept = beside(removed, *named.values()).mapInArrow(_pass5(len(carry)), f"doc_id long, {carried}n_bytes long, spans array<struct<start: long, length: long>>, kept binary")

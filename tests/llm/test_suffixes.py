@@ -95,3 +95,15 @@ def test_equal_windows_have_equal_anchors():
     places = [suffixes.anchors_of(suffixes.gram_hashes(np.frombuffer(x, np.uint8), suffixes.K), width) for x in (a, b)]
     for k in range(65):
         assert places[0][50 + k] - (50 + k) == places[1][77 + k] - (77 + k)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_hot_lines_are_spread(frame, monkeypatch, seed):
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    monkeypatch.setattr(suffixes, "HOT_A_TASK", 10**9)
+    rng = random.Random(seed)
+    line = "a line that very many documents share, of sixty-odd bytes in all"
+    passage = rng.randbytes(90).hex()
+    pairs = [(k, rng.choice([line, passage]).join(rng.randbytes(rng.choice([10, 40])).hex() for _ in range(3))) for k in range(60)]
+    pairs += [(100 + k, pairs[k][1][: 60 + k]) for k in range(20)]
+    assert found(suffixes.remove_repeats(frame(pairs))) == brute(pairs)
