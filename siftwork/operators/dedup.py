@@ -69,20 +69,16 @@ def last_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
 def similar_pairs(rows: DataFrame, group: str, row_id: str, text: Column, threshold: float = C.SIMILAR) -> DataFrame:
     """Pairs of one group whose word sets overlap by the threshold: (group, left, right, overlap).
 
-    Prefix filtering: with words in order of rarity, two sets that overlap by t share a word among the first
-    n - ceil(t n) + 1 of each, so rows meet only under their rare words and no group is crossed with itself.
+    Prefix filtering: with words in one order, two sets that overlap by t share a word among the first
+    n - ceil(t n) + 1 of each, so rows meet only under their long words and no group is crossed with itself.
     Rows of one word set are compared once, through its smallest id; the others are paired with that id.
     """
     sets = rows.select(F.col(group).alias("g"), F.col(row_id).alias("id"), F.array_sort(T.question_tokens(text)).alias("words")).where(F.size("words") > 0)
     classes = sets.groupBy("g", "words").agg(F.min("id").alias("rep"))
     members = sets.join(classes, ["g", "words"]).where("id > rep").select("g", F.col("rep").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("overlap"))
-    counts = classes.select("g", F.explode("words").alias("word")).groupBy("g", "word").agg(F.count("*").alias("n"))
-    ordered = (
-        classes.select("g", "rep", F.explode("words").alias("word"))
-        .join(counts, ["g", "word"])
-        .groupBy("g", "rep")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "word"))), lambda x: x["word"]).alias("words"))
-    )
+    # Any fixed order of words will do; long words first puts rare ones first without counting them.
+    by_length = F.array_sort(F.transform("words", lambda w: F.struct((-F.length(w)).alias("n"), w.alias("word"))))
+    ordered = classes.select("g", "rep", F.transform(by_length, lambda x: x["word"]).alias("words"))
     size = F.size("words")
     head = F.slice("words", F.lit(1), (size - F.ceil(threshold * size) + 1).cast("int"))
     heads = ordered.select("g", "rep", size.alias("size"), F.posexplode(head).alias("place", "word")).withColumn("word", F.xxhash64("word"))

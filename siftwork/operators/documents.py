@@ -98,4 +98,4 @@ def paginate(rows: DataFrame, key: str, place: str, cost: str, limit: int = C.PA
 def stats(papers: DataFrame, rows: DataFrame, key: str, tex: str) -> DataFrame:
     """Lengths of each paper's source and blocks."""
     per = rows.groupBy(key).agg(F.sum(F.length("raw")).alias("block_raw_chars"), F.sum(F.length("text")).alias("block_text_chars"), F.count("*").alias("num_blocks"))
-    return papers.select(key, F.length(tex).alias("total_tex_chars")).join(per, key, "left")
+    return papers.select(key, F.length(tex).cast("long").alias("total_tex_chars")).join(per, key, "left")
