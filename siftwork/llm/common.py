@@ -14,8 +14,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The named columns of a table, read by Spark (any store Spark can open)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    """The named columns of a table, read by Spark (any store Spark can open).
+
+    A file too small to be split for all cores is dealt over them; a larger scan stays as it is.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
 
 
 def partitions(spark: SparkSession) -> int:

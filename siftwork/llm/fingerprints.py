@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import partitions, table
 
-LEAF = 64
+LEAF = 32
 #: A section ends after one paragraph in so many, on average.
 SECTION = 8
 
