@@ -50,7 +50,9 @@ LENGTH, K = 100, 36
 #: Bytes of text whose windows are hashed at once.
 PIECE = 1 << 20
 #: Bytes of contexts that pass 3 sorts at once.
-CONTEXTS = 16 << 20
+CONTEXTS = 8 << 20
+#: Window starts that are sorted at once, unless one gram has more.
+WINDOWS = 1 << 19
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -253,6 +255,16 @@ def _pass1(tasks: int):
     return run
 
 
+def _window_names(data: bytes, starts: np.ndarray) -> np.ndarray:
+    """A hash of the LENGTH bytes from each start, by its 8-byte words (the last one overlaps)."""
+    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    name = np.zeros(len(starts), np.uint64)
+    for at in (*range(0, LENGTH - 7, 8), LENGTH - 8):
+        name = (name ^ words[starts + at]) * np.uint64(0x94D049BB133111EB)
+        name ^= name >> np.uint64(29)
+    return name
+
+
 #: A gram with more anchors than this, and more than this share of its task's, is dealt window by window.
 HOT, HOT_A_TASK = 2000, 20
 
@@ -322,17 +334,20 @@ def _pass3(tasks: int, hot: np.ndarray):
         rows = np.flatnonzero(leader == np.arange(len(leader)))
         spread = np.isin(code[rows], hot)
         send(out, rows[~spread], joined, starts, lengths, code, doc_id, key, first, count)
-        if spread.any():
-            rows = rows[spread]
-            n = count[rows].astype(np.int64)
-            of = np.repeat(rows, n)
+        rows = rows[spread]
+        # Some windows at a time: equal ones that are sent apart meet in their task.
+        while len(rows):
+            part = rows[: max(1, int(np.searchsorted(np.cumsum(count[rows].astype(np.int64)), WINDOWS // 2, "right")))]
+            rows = rows[len(part) :]
+            n = count[part].astype(np.int64)
+            of = np.repeat(part, n)
             inside = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
             begin, whole, place = starts[of] + inside, np.full(len(of), LENGTH), first[of].astype(np.int64) + inside
             leader = first_of_class(*sort_strings(joined, begin, whole), _ranks(doc_id[of], key[of], place))
             again = np.flatnonzero(leader != np.arange(len(leader)))
             _send_removed(out, 1, tasks, key[of][again], place[again], place[again] + LENGTH)
             own = np.flatnonzero(leader == np.arange(len(leader)))
-            name = gram_hashes(np.frombuffer(joined, np.uint8), LENGTH)[begin[own]] * np.uint64(0x94D049BB133111EB)
+            name = _window_names(joined, begin[own])
             task = (name & np.uint64(0xFFFFFFFF)) % np.uint64(tasks)
             name = (task << np.uint64(32)) | (name >> np.uint64(32))
             send(out, np.arange(len(own)), joined, begin[own], whole[own], name, doc_id[of][own], key[of][own], place[own].astype(np.uint32), np.ones(len(own), np.uint8))
@@ -379,10 +394,6 @@ def _pass3(tasks: int, hot: np.ndarray):
     return run
 
 
-#: Window starts that pass 4 sorts at once, unless one gram has more.
-WINDOWS = 1 << 20
-
-
 def repeats_among(data: bytes, gram: np.ndarray, doc_id: np.ndarray, key: np.ndarray, first: np.ndarray, count: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
     """(key, first byte, last byte + 1) of the windows of contexts that start earlier elsewhere.
 
