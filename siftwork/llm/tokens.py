@@ -13,7 +13,7 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import islice
 
-CACHE_CHUNKS = 900_000
+CACHE_CHUNKS = 650_000
 #: Longer chunks, and whole texts, are not kept.
 CACHE_LENGTH = 64
 #: Characters of text that are taken apart at once; bounds the memory of the chunk lists.
