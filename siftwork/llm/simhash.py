@@ -15,16 +15,22 @@ proportion to its size. Copies share a fingerprint and are one node throughout.
 Defined results: null, empty and blank texts have fingerprint zero, linked as any other; a null
 doc_id is kept and is no component's id unless all its members' are null; rows of one doc_id are
 each returned; an empty table gives no rows. Extra columns of the input are not read.
+
+``one_of_each`` works on the Jaccard of the texts' distinct shingles instead, without fingerprints:
+pairs come from a prefix filter, which misses none, and each is computed in full.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -214,95 +220,223 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 4) -> DataFrame
     return marked.join(classes, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
-def similar_bits(similarity: float, words: int) -> int:
-    """The distance that wide fingerprints of texts of this shingle Jaccard stay within.
+#: Nodes whose shingles are counted for the order of rarity, least count and number of those that are told apart.
+SAMPLE, FEW, COMMON = 10_000, 2, 1 << 17
+#: Pairs of places that are looked at together.
+PAIRS = 1 << 21
 
-    Sets of one size and Jaccard s have cosine 2s / (1 + s), and a bit differs with the share the angle
-    has of half a turn; one standard deviation is added, so that texts at the limit are mostly found.
-    """
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    n = 64 * words
-    return int(n * p + (n * p * (1 - p)) ** 0.5)
+
+def shingle_set(words: bytes, width: int) -> np.ndarray:
+    """The distinct shingle hashes of words joined by blanks."""
+    return np.unique(np.array(shingle_hashes(words.decode(), width), np.uint64))
+
+
+def packed_words(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, node, words) of ``docs`` (doc_id, key, text): node is a hash of the text's words, so copies are one node."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            names, packed = [], []
+            for text in batch.column(2):
+                words = b" ".join((text.as_py() or "").encode().lower().split())
+                names.append(xxhash.xxh64_intdigest(words, SEED))
+                packed.append(packer.compress(words))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(packed, pa.binary())], ["doc_id", "key", "node", "words"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text").mapInArrow(build, "doc_id long, key long, node long, words binary")
 
 
-def wide_fingerprints(docs: DataFrame, width: int, words: int) -> DataFrame:
-    """(doc_id, key, node, fp) of ``docs`` (doc_id, key, text): fp has ``words`` 64-bit fingerprints.
+def common_shingles(nodes: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of shingles that several nodes of a sample of ``nodes`` (node, words) hold, by hash.
 
-    Every fingerprint votes over the same shingles with other hash bits; node is a hash of the
-    text's words, so copies are one node.
+    They only set the order in which shingles are taken as keys, never which pairs are found.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            names, votes, counts, hashes, held = [], [], [], [], 0
-            texts = batch.column(2)
-            for k, text in enumerate(texts):
-                text = text.as_py() or ""
-                names.append(xxhash.xxh64_intdigest(b" ".join(text.encode().lower().split()), SEED))
-                own = np.array(shingle_hashes(text, width), np.uint64)
-                counts.append(len(own))
-                hashes.append(own)
-                held += len(own)
-                if held >= STEP or k == len(texts) - 1:
-                    joined, each = np.concatenate(hashes), np.array(counts, np.int64)
-                    found = [majority(joined, each)]
-                    for _ in range(1, words):
-                        joined = (joined ^ (joined >> np.uint64(31))) * np.uint64(0x9FB21C651E98DF25)
-                        joined ^= joined >> np.uint64(29)
-                        found.append(majority(joined, each))
-                    votes.append(np.stack(found, axis=1))
-                    counts, hashes, held = [], [], 0
-            fps = np.concatenate(votes) if votes else np.empty((0, words), np.uint64)
-            columns = [batch.column(0), batch.column(1), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array([r.tobytes() for r in fps], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "node", "fp"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text").mapInArrow(build, "doc_id long, key long, node long, fp binary")
-
-
-def linked_wide(nodes: DataFrame, bits: int, words: int, band: int = 16) -> DataFrame:
-    """Links (u, v) among ``nodes`` (node, fp) of at most ``bits``, found where a band of ``band`` bits agrees.
-
-    A pair is met if any of the words * 64 / band bands is equal in both. At 0.8 similarity a bit
-    agrees with 0.85, so 24 bands of 16 bits meet 83 of 100 such pairs, and 99 at 0.9; a group of
-    several copies is missed less, as any link to a member is enough.
+            for words in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(unpacker.decompress(words.as_py()), width).view(np.int64))], ["h"])
+
+    part = max(1, nodes.count() // SAMPLE)
+    counted = nodes.where(F.pmod("node", F.lit(part)) == 0).select("words").mapInArrow(build, "h long").groupBy("h").count().where(F.col("count") >= FEW)
+    rows = counted.orderBy(F.desc("count"), "h").limit(COMMON).collect()
+    hashes, counts = np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["count"] for r in rows], np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def prefix_keys(nodes: DataFrame, width: int, share: Fraction, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(key, node, place) of the shingles that two nodes of Jaccard ``share`` cannot both be without.
+
+    All nodes sort their n distinct shingles alike, rare ones first. Two sets that share at least
+    share * n have one of the first n - ceil(share * n) + 1 in common. place is n << 32 | the key's place.
     """
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            fps = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(-1, words)
-            names = np.repeat(batch.column(0).to_numpy(), words * 64 // band)
-            parts = np.stack([(fps[:, w] >> np.uint64(s)) & np.uint64((1 << band) - 1) for w in range(words) for s in range(0, 64, band)], axis=1)
-            parts |= np.arange(parts.shape[1], dtype=np.uint64)[None, :] << np.uint64(band)
-            rows = batch.column(1).take(pa.array(np.repeat(np.arange(batch.num_rows), parts.shape[1])))
-            yield pa.RecordBatch.from_arrays([pa.array(parts.reshape(-1).view(np.int64)), pa.array(names), rows], ["key", "node", "fp"])
+            keys, names, places, held = [], [], [], 0
+
+            def rows(keys=keys, names=names, places=places) -> pa.RecordBatch:
+                found = [np.concatenate(c) for c in (keys, names, places)]
+                for c in (keys, names, places):
+                    c.clear()
+                return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["key", "node", "place"])
+
+            for node, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                own = shingle_set(unpacker.decompress(words.as_py()), width)
+                if not len(own):
+                    continue
+                if len(common[0]):
+                    at = np.minimum(np.searchsorted(common[0], own), len(common[0]) - 1)
+                    own = own[np.argsort(np.where(common[0][at] == own, common[1][at], 0), kind="stable")]
+                n = len(own)
+                first = own[: n + 1 - math.ceil(share * n)]
+                keys.append(first.view(np.int64))
+                names.append(np.full(len(first), node, np.int64))
+                places.append((n << 32) + np.arange(len(first), dtype=np.int64))
+                held += len(first)
+                if held >= STEP:
+                    yield rows()
+                    held = 0
+            if keys:
+                yield rows()
+
+    return nodes.select("node", "words").mapInArrow(build, "key long, node long, place long")
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, share: Fraction) -> np.ndarray:
+    """Whether the sets may reach ``share``, by their sizes and the places of a key they have in common."""
+    low = (1 << 32) - 1
+    n, m, i, j = a >> 32, b >> 32, a & low, b & low
+    most = np.minimum(i, j) + 1 + np.minimum(n - i, m - j) - 1
+    return (share.numerator + share.denominator) * most >= share.numerator * (n + m)
+
+
+def _distinct(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0)
+
+
+def first_pairs(keys: DataFrame, share: Fraction) -> DataFrame:
+    """(kind, a, b, c): pairs a, b of each key's first node and its others (1); the rows of keys of three nodes or more (0)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [b for b in batches if b.num_rows]
-        if found:
-            both = pa.Table.from_batches(found)
-            key, name = both["key"].to_numpy(), both["node"].to_numpy()
-            fps = np.frombuffer(b"".join(both["fp"].to_pylist()), np.uint64).reshape(-1, words)
-            order = np.lexsort((name, key))
-            u, v = near_links(key[order], name[order], fps[order], bits)
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+        if not found:
+            return
+        both = pa.Table.from_batches(found)
+        key, node, place = (both[c].to_numpy() for c in ("key", "node", "place"))
+        order = np.lexsort((node, key))
+        key, node, place = key[order], node[order], place[order]
+        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        times = np.diff(np.r_[starts, len(key)])
+        first, times = np.repeat(starts, times), np.repeat(times, times)
+        rest = np.flatnonzero(np.arange(len(key)) != first)
+        rest = rest[_may_link(place[first[rest]], place[rest], share)]
+        pairs, many = _distinct(node[first[rest]], node[rest]), times > 2
+        for kind, columns in ((1, (pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), np.int64))), (0, (key[many], node[many], place[many]))):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *[pa.array(np.ascontiguousarray(c)) for c in columns]], ["kind", "a", "b", "c"])
+
+    return keys.repartition(partitions(keys.sparkSession), "key").mapInArrow(find, "kind int, a long, b long, c long")
+
+
+def cross_pairs(keys: DataFrame, share: Fraction) -> DataFrame:
+    """(u, v): all pairs under a key of ``keys`` (key, node, place, root) whose nodes have different roots.
+
+    Under a key the nodes of its largest component come first; each other node meets those of the
+    components before its own, so a key that is nearly one component costs little.
+    """
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [b for b in batches if b.num_rows]
+        if not found:
+            return
+        both = pa.Table.from_batches(found)
+        key, node, place, root = (both[c].to_numpy() for c in ("key", "node", "place", "root"))
+        order = np.lexsort((root, key))
+        lead = np.flatnonzero(np.r_[True, (np.diff(key[order]) != 0) | (np.diff(root[order]) != 0)])
+        times = np.diff(np.r_[lead, len(key)])
+        order = order[np.lexsort((root[order], -np.repeat(times, times), key[order]))]
+        key, node, place, root = key[order], node[order], place[order], root[order]
+        new = np.r_[True, key[1:] != key[:-1]]
+        start = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+        own = np.maximum.accumulate(np.where(new | np.r_[True, root[1:] != root[:-1]], np.arange(len(key)), 0))
+        rows = np.flatnonzero(own > start)
+        before = own[rows] - start[rows]
+        total, at = np.cumsum(before), 0
+        kept = np.empty((0, 2), np.int64)
+        while at < len(rows):
+            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
+            n = before[at:end]
+            b = np.repeat(rows[at:end], n)
+            a = start[b] + np.arange(len(b)) - np.repeat(np.cumsum(n) - n, n)
+            near = _may_link(place[a], place[b], share)
+            kept = np.concatenate([kept, _distinct(node[a[near]], node[b[near]])])
+            if len(kept) >= PAIRS or end == len(rows):
+                kept = np.unique(kept, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in kept.T], ["u", "v"])
+                kept = kept[:0]
+            at = end
+
+    return keys.repartition(partitions(keys.sparkSession), "key").mapInArrow(find, "u long, v long")
+
+
+def similar(pairs: DataFrame, nodes: DataFrame, width: int, share: Fraction) -> DataFrame:
+    """Those of ``pairs`` (u, v) whose distinct shingles have a Jaccard of at least ``share``, computed in full."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker, held = zstandard.ZstdDecompressor(), {}
+
+        def shingles(node: int, words: pa.Scalar) -> np.ndarray:
+            if node not in held:
+                if len(held) >= 64:
+                    held.pop(next(iter(held)))
+                held[node] = shingle_set(unpacker.decompress(words.as_py()), width)
+            return held[node]
 
-    dealt = nodes.select("node", "fp").mapInArrow(deal, "key long, node long, fp binary")
-    return dealt.repartition(partitions(nodes.sparkSession), "key").mapInArrow(find, "u long, v long")
+        for batch in batches:
+            good = []
+            for u, v, a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3), strict=True):
+                x, y = shingles(u, a), shingles(v, b)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(share.denominator * both >= share.numerator * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:2]], ["u", "v"])
+
+    side = lambda name, words: nodes.select(F.col("node").alias(name), F.col("words").alias(words))
+    joined = pairs.join(side("u", "words u"), "u").join(side("v", "words v"), "v")
+    return joined.select("u", "v", "words u", "words v").mapInArrow(check, "u long, v long")
 
 
-def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8, words: int = 6) -> DataFrame:
+def similar_links(nodes: DataFrame, width: int, share: Fraction) -> DataFrame:
+    """Links (u, v) that connect all ``nodes`` (node, words) of Jaccard at least ``share``; every link has it.
+
+    First each key's nodes are compared with one of them; then, under keys of three nodes or more,
+    all pairs that are not connected yet.
+    """
+    keys = prefix_keys(nodes, width, share, common_shingles(nodes, width))
+    found = checkpoint(first_pairs(keys, share))
+    pairs = checkpoint(found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
+    links = checkpoint(similar(pairs, nodes, width, share))
+    shared = found.where("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("c").alias("place"))
+    roots = components(links).withColumnRenamed("node", "n")
+    rooted = shared.join(roots, F.col("node") == F.col("n"), "left").select("key", "node", "place", F.coalesce("root", "node").alias("root"))
+    more = checkpoint(cross_pairs(rooted, share).distinct().join(pairs, ["u", "v"], "left_anti"))
+    return links.union(similar(more, nodes, width, share))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each near-duplicate group does.
 
     The one with the smallest doc_id stays (null first; of equal ids, the smallest text hash, once).
-    Texts are linked when the distance of their wide fingerprints is what ``similarity`` gives.
+    Texts are linked when the Jaccard of their distinct shingles is at least ``similarity``.
     """
     keyed = docs.withColumn("row key", F.xxhash64("doc_id", "text"))
-    marked = checkpoint(wide_fingerprints(keyed.select("doc_id", F.col("row key").alias("key"), "text"), width, words))
-    nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.min("fp").alias("fp"))
+    marked = checkpoint(packed_words(keyed.select("doc_id", F.col("row key").alias("key"), "text")))
+    nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.min("words").alias("words"))
     nodes = checkpoint(nodes)
-    roots = components(linked_wide(nodes, similar_bits(similarity, words), words)).withColumnRenamed("node", "n")
+    roots = components(similar_links(nodes, width, Fraction(str(similarity)))).withColumnRenamed("node", "n")
     least = nodes.join(roots, F.col("node") == F.col("n"), "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
     kept = least.select(F.col("least.doc_id").alias("kept id"), F.col("least.key").alias("kept key"))
     same = F.col("doc_id").eqNullSafe(F.col("kept id")) & (F.col("row key") == F.col("kept key"))

@@ -102,3 +102,34 @@ def test_one_of_each_keeps_one(frame):
     assert kept.columns == docs.columns
     assert sorted((r.doc_id if r.doc_id is not None else -1) for r in kept.collect()) == [-1, 1, 4]
     assert simhash.one_of_each(docs.limit(0)).count() == 0
+
+
+def jaccard(a, b, width=5):
+    x, y = (set(simhash.shingle_hashes(t, width)) for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def one_of_each_by_brute_force(pairs):
+    parent = {i: i for i, _ in pairs}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for k, (i, a) in enumerate(pairs):
+        for j, b in pairs[:k]:
+            if jaccard(a, b) >= 0.8:
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return sorted({find(i) for i in parent})
+
+
+def test_one_of_each_computes_similarity(frame):
+    rng = random.Random(3)
+    say = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    repeated = "one line that both of the texts repeat many times over\n" * 200
+    pairs = [(1, " ".join(say(500)) + "\n" + repeated), (2, " ".join(say(500)) + "\n" + repeated)]
+    base = say(400)
+    pairs += [(3, " ".join(base)), (4, " ".join([*base[:340], *say(60)]))]  # about 0.74 similar
+    assert [r.doc_id for r in simhash.one_of_each(frame(pairs)).orderBy("doc_id").collect()] == [1, 2, 3, 4]
