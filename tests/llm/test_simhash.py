@@ -133,3 +133,21 @@ def test_one_of_each_computes_similarity(frame):
     base = say(400)
     pairs += [(3, " ".join(base)), (4, " ".join([*base[:340], *say(60)]))]  # about 0.74 similar
     assert [r.doc_id for r in simhash.one_of_each(frame(pairs)).orderBy("doc_id").collect()] == [1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_one_of_each_misses_no_pair(frame, seed):
+    rng = random.Random(seed)
+    say = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    line = say(12)
+    pairs = []
+    for _ in range(60):  # pairs about the limit, amid a line that all share
+        base = [*say(rng.randint(60, 200)), *line]
+        cut = rng.uniform(0.08, 0.14)
+        pairs += [base, [*base[: -max(1, int(cut * len(base)))], *say(max(1, int(cut * len(base))))]]
+    group = say(100)
+    for _ in range(30):  # a group whose members are linked in chains
+        at = rng.randrange(90)
+        pairs.append([*group[:at], *say(rng.randint(1, 9)), *group[at + rng.randint(0, 6) :]])
+    pairs = [(k, " ".join(w)) for k, w in enumerate(pairs)]
+    assert [r.doc_id for r in simhash.one_of_each(frame(pairs)).orderBy("doc_id").collect()] == one_of_each_by_brute_force(pairs)
