@@ -143,8 +143,8 @@ def _split(to: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     yield from zip(tasks.tolist(), np.split(order, begins[1:]), strict=True)
 
 
-ANCHOR = ("<u4", "<u4", "u1", "<u4", "<u4")  # document, first window, windows, gram (of the task), times in the batch
-SHARED = ("<u4", "<u4", "u1", "<u8")  # document, first window, windows, task and gram
+ANCHOR = ("<i8", "<u4", "u1", "<u4", "<u4")  # key, first window, windows, gram (of the task), times in the batch
+SHARED = ("<i8", "<u4", "u1", "<u8")  # key, first window, windows, task and gram
 CONTEXT = ("<u4", "<i8", "<i8", "<u4", "u1")  # gram, doc_id, key, first window, windows
 REMOVED = ("<i8", "<u4", "<u4")  # key, first byte, last byte + 1
 BLOB = "bucket int, kind int, blob binary"
@@ -196,7 +196,7 @@ def _documents(blob: bytes) -> pa.RecordBatch:
 
 
 def _home(key: np.ndarray, tasks: int) -> np.ndarray:
-    """The task of a document, by the low half of its key, which is all that anchors carry."""
+    """The task of a document, by the low half of its key."""
     return ((key.astype(np.uint64) & np.uint64(0xFFFFFFFF)) % np.uint64(tasks)).astype(np.int64)
 
 
@@ -243,13 +243,13 @@ def _pass1(tasks: int):
             task = ((gram & np.uint64(0xFFFFFFFF)) % np.uint64(tasks)).astype(np.int64)
             high = (gram >> np.uint64(32)).astype(np.uint32)
             code = (task.astype(np.uint64) << np.uint64(32)) | high
-            doc, home = (key & 0xFFFFFFFF).astype(np.uint32), _home(key, tasks)
+            home = _home(key, tasks)
             first, count = first.astype(np.uint32), count.astype(np.uint8)
             for kind, rows, to, name in ((0, order[~shared], task, high), (1, order[lead & shared], task, high), (2, order[shared], home, code)):
                 rows = np.sort(rows)
                 for t, part in _split(to[rows]):
                     part = rows[part]
-                    out.add(t, kind, pack(doc[part], first[part], count[part], name[part], *([] if kind == 2 else [times[part]])))
+                    out.add(t, kind, pack(key[part], first[part], count[part], name[part], *([] if kind == 2 else [times[part]])))
             yield from out.batches()
 
     return run
@@ -287,7 +287,7 @@ def _pass2(tasks: int):
                     words.append(np.full(len(columns[-1][0]), kind, bool))
             yield from out.batches()
         if columns:
-            doc, first, count, gram, times = (np.concatenate(c) for c in zip(*columns, strict=True))
+            key, first, count, gram, times = (np.concatenate(c) for c in zip(*columns, strict=True))
             names, group, sent = np.unique(gram, return_inverse=True, return_counts=True)
             code = (np.uint64(mine) << np.uint64(32)) | gram.astype(np.uint64)
             total = np.bincount(group, times)
@@ -296,9 +296,9 @@ def _pass2(tasks: int):
                 out.add(mine, 2, ((np.uint64(mine) << np.uint64(32)) | names[hot].astype(np.uint64)).tobytes())
             # Words only count here: their anchors are with their documents since pass 1.
             rows = np.flatnonzero((sent[group] > 1) & ~np.concatenate(words))
-            for t, part in _split(_home(doc[rows], tasks)):
+            for t, part in _split(_home(key[rows], tasks)):
                 part = rows[part]
-                out.add(t, 0, pack(doc[part], first[part], count[part], code[part]))
+                out.add(t, 0, pack(key[part], first[part], count[part], code[part]))
             yield from out.batches()
 
     return run
@@ -371,8 +371,7 @@ def _pass3(tasks: int, hot: np.ndarray):
                 shared, columns = [c[order] for c in shared], []
             docs = _documents(blob)
             for doc_id, key, text in zip(docs.column(0).to_pylist(), docs.column(1).to_pylist(), docs.column(2), strict=True):
-                low = np.uint32(key & 0xFFFFFFFF)
-                a, b = np.searchsorted(shared[0], low, "left"), np.searchsorted(shared[0], low, "right")
+                a, b = np.searchsorted(shared[0], key, "left"), np.searchsorted(shared[0], key, "right")
                 if a == b:
                     continue
                 raw = text.as_py().encode()

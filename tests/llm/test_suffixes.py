@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from siftwork.llm import deepshallow, suffixes
@@ -107,3 +108,16 @@ def test_hot_lines_are_spread(frame, monkeypatch, seed):
     pairs = [(k, rng.choice([line, passage]).join(rng.randbytes(rng.choice([10, 40])).hex() for _ in range(3))) for k in range(60)]
     pairs += [(100 + k, pairs[k][1][: 60 + k]) for k in range(20)]
     assert found(suffixes.remove_repeats(frame(pairs))) == brute(pairs)
+
+
+def test_keys_with_equal_low_halves(frame):
+    rng = random.Random(6)
+    one, two = rng.randbytes(50).hex(), rng.randbytes(50).hex()
+    key = lambda i, text: xxhash.xxh64_intdigest(text.encode(), xxhash.xxh64_intdigest(i.to_bytes(8, "little"), 42))  # noqa: E731  Spark's xxhash64
+    low = {key(i, one) & 0xFFFFFFFF: i for i in range(300_000)}
+    i, j = next((low[k], j) for j in range(300_000) if (k := key(j, two) & 0xFFFFFFFF) in low and low[k] != j)
+    pairs = [(i, one), (j, two), (10**6, one), (10**6 + 1, two)]
+    df = frame(pairs)
+    keys = {r.doc_id: r.key for r in df.select("doc_id", F.xxhash64("doc_id", "text").alias("key")).collect()}
+    assert keys[i] % 2**32 == keys[j] % 2**32
+    assert found(suffixes.remove_repeats(df)) == brute(pairs)
