@@ -361,6 +361,7 @@ def _pass3(tasks: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, columns, shared = _Out(), [], None
         held, data, size = [], [], 0
+        done: set[int] = set()
         for kind, blob in _blobs(batches):
             if not kind:
                 columns.append(unpack(blob, *SHARED)[:4])
@@ -368,12 +369,15 @@ def _pass3(tasks: int, hot: np.ndarray):
             if shared is None:
                 shared = [np.concatenate(c) for c in zip(*columns, strict=True)] if columns else [np.empty(0, t) for t in SHARED]
                 order = np.lexsort((shared[1], shared[0]))
-                shared, columns = [c[order] for c in shared], []
+                # A row listed again brings its anchors again; runs of one document start at different windows.
+                new = np.r_[True, (np.diff(shared[0][order]) != 0) | (np.diff(shared[1][order]) != 0)][: len(order)]
+                shared, columns = [c[order[new]] for c in shared], []
             docs = _documents(blob)
             for doc_id, key, text in zip(docs.column(0).to_pylist(), docs.column(1).to_pylist(), docs.column(2), strict=True):
                 a, b = np.searchsorted(shared[0], key, "left"), np.searchsorted(shared[0], key, "right")
-                if a == b:
+                if a == b or key in done:
                     continue
+                done.add(key)
                 raw = text.as_py().encode()
                 first, count, code = (c[a:b] for c in shared[1:])
                 fits = first.astype(np.int64) + count + LENGTH - 1 <= len(raw)

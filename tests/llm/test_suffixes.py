@@ -121,3 +121,20 @@ def test_keys_with_equal_low_halves(frame):
     keys = {r.doc_id: r.key for r in df.select("doc_id", F.xxhash64("doc_id", "text").alias("key")).collect()}
     assert keys[i] % 2**32 == keys[j] % 2**32
     assert found(suffixes.remove_repeats(df)) == brute(pairs)
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_rows_listed_again_keep_what_one_keeps(frame, seed):
+    rng = random.Random(seed)
+    pairs = list(enumerate(texts(rng, 30)))
+    pairs += [(100, rng.randbytes(90).hex()), (101, pairs[3][1] + rng.randbytes(60).hex())]
+    wanted = {r[0]: r for r in brute(pairs)}
+    again = [*pairs, *rng.choices(pairs, k=20), pairs[-1], pairs[-2]]
+    rng.shuffle(again)
+    assert found(suffixes.remove_repeats(frame(again))) == sorted(wanted[i] for i, _ in again)
+
+
+def test_odd_rows_listed_again(frame, odd_pairs):
+    plain = [p for p in odd_pairs if p[0] is not None and p[0] != 20]
+    wanted = {r[0]: r for r in brute([p for k, p in enumerate(plain) if p not in plain[:k]])}
+    assert found(suffixes.remove_repeats(frame(plain))) == sorted(wanted[i] for i, _ in plain)
