@@ -148,8 +148,12 @@ def jaccard(left: Column, right: Column) -> Column:
 
 
 def hamming_hex(left: Column, right: Column) -> Column:
-    number = lambda c: F.conv(c, 16, -10).cast("bigint")
-    return F.bit_count(number(left).bitwiseXOR(number(right)))
+    """Bits that differ in two hex numbers of any length; the shorter one is filled up with zeros in front."""
+    digits = F.greatest(F.length(left), F.length(right))
+    size = (F.ceil(digits / 15) * 15).cast("int")
+    number = lambda c, at: F.conv(F.substring(F.lpad(c, size, F.lit("0")), at, F.lit(15)), 16, 10).cast("bigint")
+    pieces = F.transform(F.sequence(F.lit(1), F.greatest(size - 14, F.lit(1)), F.lit(15)), lambda at: F.bit_count(number(left, at).bitwiseXOR(number(right, at))))
+    return F.aggregate(pieces, F.lit(0), lambda total, n: total + n)
 
 
 def difficulty_score(difficulty: Column, steps: Column) -> Column:

@@ -330,6 +330,13 @@ def hash_distance(spark, d):
     return read(spark, d, "documents").select("doc_id", T.hamming_hex(F.left(F.md5(raw), F.lit(15)), F.left(F.sha1(raw), F.lit(15))).alias("bits"))
 
 
+@query()
+def hash_distance_whole(spark, d):
+    """As hash_distance, over all digits of both digests."""
+    raw = F.col("text").cast("binary")
+    return read(spark, d, "documents").select("doc_id", T.hamming_hex(F.md5(raw), F.sha1(raw)).alias("bits"))
+
+
 @query("""
 SELECT doc_id, regexp_matches(id, '^(20|21|22|23|24|25)[0-9]{2}\\.[0-9]+') AND y BETWEEN 2020 AND 2025 AS wanted, n_chars > 3000 OR lang = 'fr' OR contains(source, '_merged_') AS merged
 FROM (SELECT *, printf('%d%02d.%d', 18 + doc_id % 10, doc_id % 12, doc_id) AS id, 2018 + doc_id % 10 AS y FROM documents)
