@@ -16,8 +16,9 @@ Defined results: null, empty and blank texts have fingerprint zero, linked as an
 doc_id is kept and is no component's id unless all its members' are null; rows of one doc_id are
 each returned; an empty table gives no rows. Extra columns of the input are not read.
 
-``one_of_each`` works on the Jaccard of the texts' distinct shingles instead, without fingerprints:
-pairs come from a prefix filter, which misses none, and each is computed in full.
+``one_of_each`` wants the Jaccard of the texts' distinct shingles. Texts meet under keys of a prefix filter,
+which misses no pair; wide fingerprints of the distinct shingles, compared through the same kind of
+pivot table, discard the pairs that are too far apart, and survivors are computed in full.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import checkpoint, partitions, table
@@ -215,15 +216,23 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 4) -> DataFrame
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(linked(nodes.select("fp"), bits)).withColumnRenamed("node", "n")
     nodes = nodes.join(roots, F.col("fp") == F.col("n"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = nodes.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r")
+    # The minima and the nodes are tables of their own: so AQE can split a root that very many nodes share.
+    nodes = checkpoint(nodes)
+    smallest = checkpoint(nodes.groupBy("root").agg(F.min("least").alias("component_id")).withColumnRenamed("root", "r"))
     classes = nodes.join(smallest, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
     return marked.join(classes, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
-#: Nodes whose shingles are counted for the order of rarity, least count and number of those that are told apart.
-SAMPLE, FEW, COMMON = 10_000, 2, 1 << 17
-#: Pairs of places that are looked at together.
-PAIRS = 1 << 21
+#: A wide fingerprint's 64-bit words and the bits beyond which two texts cannot be 0.8 similar. Two sets of distinct shingles
+#: of that similarity differ in a bit with probability 0.152 (at most 0.1875, sets of 5 and 4), so that a pair is lost with
+#: probability 3e-11 (at most 6e-7).
+WIDE, FAR = 4, 80
+#: Reference fingerprints whose distances travel with a wide fingerprint, 16 bits each.
+COORDINATES = 4
+#: Rows whose shingles are counted for the order of rarity, least count and number of those that are told apart.
+SAMPLE, FEW, COMMON = 20_000, 2, 1 << 17
+#: Orders by which a key's leader is chosen, so that a group's members meet several leaders.
+ORDERS = 4
 
 
 def shingle_set(words: bytes, width: int) -> np.ndarray:
@@ -231,159 +240,143 @@ def shingle_set(words: bytes, width: int) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(words.decode(), width), np.uint64))
 
 
-def packed_words(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, node, words) of ``docs`` (doc_id, key, text): node is a hash of the text's words, so copies are one node."""
+def _joined(text: str | None) -> bytes:
+    return b" ".join((text or "").encode().lower().split())
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            names, packed = [], []
-            for text in batch.column(2):
-                words = b" ".join((text.as_py() or "").encode().lower().split())
-                names.append(xxhash.xxh64_intdigest(words, SEED))
-                packed.append(packer.compress(words))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(packed, pa.binary())], ["doc_id", "key", "node", "words"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text").mapInArrow(build, "doc_id long, key long, node long, words binary")
+def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """Other 64 bits of each hash (SplitMix64 of it and the word's number)."""
+    if not word:
+        return hashes
+    z = hashes + np.uint64(word * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
 
 
-def common_shingles(nodes: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of shingles that several nodes of a sample of ``nodes`` (node, words) hold, by hash.
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, counts) of shingles that several texts of a sample of ``docs`` (text) hold, by hash.
 
     They only set the order in which shingles are taken as keys, never which pairs are found.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
-            for words in batch.column(0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(unpacker.decompress(words.as_py()), width).view(np.int64))], ["h"])
-
-    part = max(1, nodes.count() // SAMPLE)
-    counted = nodes.where(F.pmod("node", F.lit(part)) == 0).select("words").mapInArrow(build, "h long").groupBy("h").count().where(F.col("count") >= FEW)
-    rows = counted.orderBy(F.desc("count"), "h").limit(COMMON).collect()
-    hashes, counts = np.array([r["h"] for r in rows], np.int64).view(np.uint64), np.array([r["count"] for r in rows], np.int64)
+            sets = [np.unique(np.array(shingle_hashes(text.as_py(), width), np.uint64)) for text in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))], ["h"])
+
+    part = max(1, docs.count() // SAMPLE)
+    sample = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(part)) == 0)
+    counted = sample.mapInArrow(build, "h long").groupBy("h").count().where(F.col("count") >= FEW)
+    rows = counted.orderBy(F.desc("count"), "h").limit(COMMON).toArrow()
+    hashes, counts = rows["h"].to_numpy().view(np.uint64), rows["count"].to_numpy()
     order = np.argsort(hashes)
     return hashes[order], counts[order]
 
 
-def prefix_keys(nodes: DataFrame, width: int, share: Fraction, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(key, node, place) of the shingles that two nodes of Jaccard ``share`` cannot both be without.
+def signed(docs: DataFrame, width: int, share: Fraction, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Each row of ``docs`` (doc_id, key, text) with what near-duplicate search needs of its text.
 
-    All nodes sort their n distinct shingles alike, rare ones first. Two sets that share at least
-    share * n have one of the first n - ceil(share * n) + 1 in common. place is n << 32 | the key's place.
+    Returns doc_id, key, node (a hash of the text's words, so copies are one node), n (distinct
+    shingles), f0 .. (the wide fingerprint of the distinct shingles), coordinates (its distances to
+    the reference fingerprints), words (compressed), and the keys, ``hot`` (common in the sample) and
+    ``rare``: shingles that two sets of Jaccard ``share`` cannot both be without. All rows sort their n
+    shingles alike, rare ones first; two sets that share at least share * n have one of the first
+    n - ceil(share * n) + 1 in common.
     """
+    names = ["doc_id", "key", "node", "n", *[f"f{w}" for w in range(WIDE)], "coordinates", "words", "hot", "rare"]
+    pivots = PIVOTS[:COORDINATES, :WIDE]
+
+    def split(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        kept = len(own) and len(own) + 1 - math.ceil(share * len(own))
+        if not kept or not len(common[0]):
+            return own[:0], own[:kept]
+        at = np.minimum(np.searchsorted(common[0], own), len(common[0]) - 1)
+        seen = np.where(common[0][at] == own, common[1][at], 0)
+        first = np.argsort(seen, kind="stable")[:kept]
+        often = seen[first] > 0
+        return own[first[often]], own[first[~often]]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker = zstandard.ZstdDecompressor()
+        packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            keys, names, places, held = [], [], [], 0
-
-            def rows(keys=keys, names=names, places=places) -> pa.RecordBatch:
-                found = [np.concatenate(c) for c in (keys, names, places)]
-                for c in (keys, names, places):
-                    c.clear()
-                return pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["key", "node", "place"])
-
-            for node, words in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = shingle_set(unpacker.decompress(words.as_py()), width)
-                if not len(own):
-                    continue
-                if len(common[0]):
-                    at = np.minimum(np.searchsorted(common[0], own), len(common[0]) - 1)
-                    own = own[np.argsort(np.where(common[0][at] == own, common[1][at], 0), kind="stable")]
-                n = len(own)
-                first = own[: n + 1 - math.ceil(share * n)]
-                keys.append(first.view(np.int64))
-                names.append(np.full(len(first), node, np.int64))
-                places.append((n << 32) + np.arange(len(first), dtype=np.int64))
-                held += len(first)
-                if held >= STEP:
-                    yield rows()
-                    held = 0
-            if keys:
-                yield rows()
+            at = 0
+            while at < batch.num_rows:
+                start, held, nodes, packed, sets = at, 0, [], [], []
+                while at < batch.num_rows and held < STEP:
+                    words = _joined(batch.column(2)[at].as_py())
+                    nodes.append(xxhash.xxh64_intdigest(words, SEED))
+                    packed.append(packer.compress(words))
+                    sets.append(shingle_set(words, width))
+                    held += len(sets[-1])
+                    at += 1
+                counts = np.array([len(x) for x in sets], np.int64)
+                hashes = np.concatenate(sets)
+                wide = np.stack([majority(_mixed(hashes, w), counts) for w in range(WIDE)], axis=1)
+                far = np.zeros(len(sets), np.int64)
+                for k, p in enumerate(pivots):
+                    far |= np.bitwise_count(wide ^ p).sum(axis=1, dtype=np.int64) << (16 * k)
+                keys = [split(x) for x in sets]
+                lists = [pa.array([x[side].view(np.int64) for x in keys], pa.list_(pa.int64())) for side in (0, 1)]
+                columns = [batch.column(0).slice(start, at - start), batch.column(1).slice(start, at - start), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(counts)]
+                columns += [pa.array(np.ascontiguousarray(wide[:, w]).view(np.int64)) for w in range(WIDE)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(far), pa.array(packed, pa.binary()), *lists], names)
+
+    kinds = ["long"] * (5 + WIDE) + ["binary", "array<long>", "array<long>"]
+    schema = ", ".join(f"{n} {k}" for n, k in zip(names, kinds, strict=True))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "key", "text").mapInArrow(build, schema)
+
+
+def shared_keys(marked: DataFrame) -> DataFrame:
+    """(key, node) of all keys that several nodes have.
+
+    Keys that are common in the sample go on as they are; only the others, none of which has many rows,
+    are gathered by key.
+    """
+    exploded = lambda column: marked.select(F.explode(column).alias("key"), "node")
+    by_key = Window.partitionBy("key")
+    rare = exploded("rare").select("key", "node", F.min("node").over(by_key).alias("low"), F.max("node").over(by_key).alias("high")).where("low < high")
+    return rare.select("key", "node").distinct().union(exploded("hot").distinct())
 
-    return nodes.select("node", "words").mapInArrow(build, "key long, node long, place long")
 
+def may_be_similar(a: str, b: str, share: Fraction) -> Column:
+    """Whether rows a and b may reach ``share``: by sizes, by distances to the reference fingerprints, by their own distance."""
+    x, y = (lambda side: lambda c: F.col(f"{side}.{c}"))(a), (lambda side: lambda c: F.col(f"{side}.{c}"))(b)
+    fits = (F.least(x("n"), y("n")) * F.lit(share.denominator)) >= (F.greatest(x("n"), y("n")) * F.lit(share.numerator))
+    for k in range(COORDINATES):
+        at = lambda c: F.shiftrightunsigned(c, 16 * k).bitwiseAND(F.lit(0xFFFF))  # noqa: B023, E731
+        fits &= F.abs(at(x("coordinates")) - at(y("coordinates"))) <= FAR
+    return fits & (sum(F.bit_count(x(f"f{w}").bitwiseXOR(y(f"f{w}"))) for w in range(WIDE)) <= FAR)
 
-def _may_link(a: np.ndarray, b: np.ndarray, share: Fraction) -> np.ndarray:
-    """Whether the sets may reach ``share``, by their sizes and the places of a key they have in common."""
-    low = (1 << 32) - 1
-    n, m, i, j = a >> 32, b >> 32, a & low, b & low
-    most = np.minimum(i, j) + 1 + np.minimum(n - i, m - j) - 1
-    return (share.numerator + share.denominator) * most >= share.numerator * (n + m)
 
+def leader_pairs(shared: DataFrame, share: Fraction) -> DataFrame:
+    """(u, v): under every key of ``shared`` its leader and each row that may be similar.
 
-def _distinct(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    return np.unique(np.stack([np.minimum(u, v), np.maximum(u, v)], axis=1), axis=0)
+    The leader is the least row of one of a few orders of all nodes, so it costs a partial
+    aggregation; rows meet it in a join that can be split, whatever the key's size.
+    """
+    rank = F.xxhash64("node", F.pmod("key", F.lit(ORDERS)))
+    rest = [c for c in shared.columns if c not in ("key", "rank")]
+    leaders = checkpoint(shared.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), *rest)).alias("leader")).select("key", "leader.*"))
+    met = shared.alias("a").join(leaders.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.node") != F.col("b.node")) & may_be_similar("a", "b", share))
+    return met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
 
 
-def first_pairs(keys: DataFrame, share: Fraction) -> DataFrame:
-    """(kind, a, b, c): pairs a, b of each key's first node and its others (1); the rows of keys of three nodes or more (0)."""
+def cross_pairs(rooted: DataFrame, share: Fraction) -> DataFrame:
+    """(u, v): all pairs that may be similar under a key of ``rooted`` and are in different components.
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [b for b in batches if b.num_rows]
-        if not found:
-            return
-        both = pa.Table.from_batches(found)
-        key, node, place = (both[c].to_numpy() for c in ("key", "node", "place"))
-        order = np.lexsort((node, key))
-        key, node, place = key[order], node[order], place[order]
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        times = np.diff(np.r_[starts, len(key)])
-        first, times = np.repeat(starts, times), np.repeat(times, times)
-        rest = np.flatnonzero(np.arange(len(key)) != first)
-        rest = rest[_may_link(place[first[rest]], place[rest], share)]
-        pairs, many = _distinct(node[first[rest]], node[rest]), times > 2
-        for kind, columns in ((1, (pairs[:, 0], pairs[:, 1], np.zeros(len(pairs), np.int64))), (0, (key[many], node[many], place[many]))):
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(columns[0]), kind, np.int32)), *[pa.array(np.ascontiguousarray(c)) for c in columns]], ["kind", "a", "b", "c"])
-
-    return keys.repartition(partitions(keys.sparkSession), "key").mapInArrow(find, "kind int, a long, b long, c long")
-
-
-def cross_pairs(keys: DataFrame, share: Fraction) -> DataFrame:
-    """(u, v): all pairs under a key of ``keys`` (key, node, place, root) whose nodes have different roots.
-
-    Under a key the nodes of its largest component come first; each other node meets those of the
-    components before its own, so a key that is nearly one component costs little.
+    Rows outside the component that a key's least root names meet all rows of the key, so a key
+    that is nearly one component costs little. The join's condition drops the other pairs.
     """
+    least = checkpoint(rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most"))
+    mixed = checkpoint(rooted.join(least.select(F.col("key").alias("k"), "least"), F.col("key") == F.col("k")).drop("k"))
+    outside = mixed.where("root <> least").alias("a")
+    once = (F.col("b.root") == F.col("b.least")) | (F.col("a.node") < F.col("b.node"))
+    met = outside.join(mixed.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.root") != F.col("b.root")) & once & may_be_similar("a", "b", share))
+    return met.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [b for b in batches if b.num_rows]
-        if not found:
-            return
-        both = pa.Table.from_batches(found)
-        key, node, place, root = (both[c].to_numpy() for c in ("key", "node", "place", "root"))
-        order = np.lexsort((root, key))
-        lead = np.flatnonzero(np.r_[True, (np.diff(key[order]) != 0) | (np.diff(root[order]) != 0)])
-        times = np.diff(np.r_[lead, len(key)])
-        order = order[np.lexsort((root[order], -np.repeat(times, times), key[order]))]
-        key, node, place, root = key[order], node[order], place[order], root[order]
-        new = np.r_[True, key[1:] != key[:-1]]
-        start = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-        own = np.maximum.accumulate(np.where(new | np.r_[True, root[1:] != root[:-1]], np.arange(len(key)), 0))
-        rows = np.flatnonzero(own > start)
-        before = own[rows] - start[rows]
-        total, at = np.cumsum(before), 0
-        kept = np.empty((0, 2), np.int64)
-        while at < len(rows):
-            end = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, "right")))
-            n = before[at:end]
-            b = np.repeat(rows[at:end], n)
-            a = start[b] + np.arange(len(b)) - np.repeat(np.cumsum(n) - n, n)
-            near = _may_link(place[a], place[b], share)
-            kept = np.concatenate([kept, _distinct(node[a[near]], node[b[near]])])
-            if len(kept) >= PAIRS or end == len(rows):
-                kept = np.unique(kept, axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in kept.T], ["u", "v"])
-                kept = kept[:0]
-            at = end
-
-    return keys.repartition(partitions(keys.sparkSession), "key").mapInArrow(find, "u long, v long")
-
-
-def similar(pairs: DataFrame, nodes: DataFrame, width: int, share: Fraction) -> DataFrame:
+
+def similar(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, width: int, share: Fraction) -> DataFrame:
     """Those of ``pairs`` (u, v) whose distinct shingles have a Jaccard of at least ``share``, computed in full."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -404,40 +397,49 @@ def similar(pairs: DataFrame, nodes: DataFrame, width: int, share: Fraction) ->
                 good.append(share.denominator * both >= share.numerator * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:2]], ["u", "v"])
 
-    side = lambda name, words: nodes.select(F.col("node").alias(name), F.col("words").alias(words))
+    # Only the words of nodes in a pair travel, of one row each.
+    wanted = pairs.select(F.col("u").alias("wanted")).union(pairs.select("v")).distinct()
+    rows = checkpoint(nodes.join(wanted, F.col("node") == F.col("wanted")).select(F.col("least.key").alias("row")))
+    texts = checkpoint(marked.select("key", "node", "words").join(rows, F.col("key") == F.col("row"), "left_semi").dropDuplicates(["node"]))
+    side = lambda name, words: texts.select(F.col("node").alias(name), F.col("words").alias(words))
     joined = pairs.join(side("u", "words u"), "u").join(side("v", "words v"), "v")
     return joined.select("u", "v", "words u", "words v").mapInArrow(check, "u long, v long")
 
 
-def similar_links(nodes: DataFrame, width: int, share: Fraction) -> DataFrame:
-    """Links (u, v) that connect all ``nodes`` (node, words) of Jaccard at least ``share``; every link has it.
+def similar_links(marked: DataFrame, nodes: DataFrame, width: int, share: Fraction) -> DataFrame:
+    """Links (u, v) that connect all ``nodes`` of Jaccard at least ``share``; every link has it.
 
-    First each key's nodes are compared with one of them; then, under keys of three nodes or more,
-    all pairs that are not connected yet.
+    First each key's nodes are compared with its leader; then all pairs under a key that are not
+    connected yet.
     """
-    keys = prefix_keys(nodes, width, share, common_shingles(nodes, width))
-    found = checkpoint(first_pairs(keys, share))
-    pairs = checkpoint(found.where("kind = 1").select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
-    links = checkpoint(similar(pairs, nodes, width, share))
-    shared = found.where("kind = 0").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("c").alias("place"))
-    roots = components(links).withColumnRenamed("node", "n")
-    rooted = shared.join(roots, F.col("node") == F.col("n"), "left").select("key", "node", "place", F.coalesce("root", "node").alias("root"))
-    more = checkpoint(cross_pairs(rooted, share).distinct().join(pairs, ["u", "v"], "left_anti"))
-    return links.union(similar(more, nodes, width, share))
+    keys = shared_keys(marked).withColumnRenamed("node", "at")
+    shared = checkpoint(keys.join(nodes.drop("least"), F.col("at") == F.col("node")).drop("at"))
+    pairs = checkpoint(leader_pairs(shared, share).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    links = checkpoint(similar(pairs, marked, nodes, width, share))
+    roots = components(links).withColumnRenamed("node", "member")
+    rooted = checkpoint(shared.join(roots, F.col("node") == F.col("member"), "left").select(*shared.columns, F.coalesce("root", "node").alias("root")))
+    more = checkpoint(cross_pairs(rooted, share).join(pairs, ["u", "v"], "left_anti"))
+    return links.union(similar(more, marked, nodes, width, share))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each near-duplicate group does.
 
     The one with the smallest doc_id stays (null first; of equal ids, the smallest text hash, once).
-    Texts are linked when the Jaccard of their distinct shingles is at least ``similarity``.
+    Texts are linked when the Jaccard of their distinct shingles is at least ``similarity``, 0.8 or more.
     """
+    share = Fraction(str(similarity))
+    if share < Fraction(4, 5):
+        raise ValueError("the distance limit of the wide fingerprints is for a similarity of 0.8 or more")
     keyed = docs.withColumn("row key", F.xxhash64("doc_id", "text"))
-    marked = checkpoint(packed_words(keyed.select("doc_id", F.col("row key").alias("key"), "text")))
-    nodes = marked.groupBy("node").agg(F.min(F.struct("doc_id", "key")).alias("least"), F.min("words").alias("words"))
-    nodes = checkpoint(nodes)
-    roots = components(similar_links(nodes, width, Fraction(str(similarity)))).withColumnRenamed("node", "n")
-    least = nodes.join(roots, F.col("node") == F.col("n"), "left").groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
+    common = common_shingles(docs, width)
+    marked = checkpoint(signed(keyed.select("doc_id", F.col("row key").alias("key"), "text"), width, share, common))
+    wide = ["n", *[f"f{w}" for w in range(WIDE)], "coordinates"]
+    least = marked.groupBy("node").agg(F.min(F.struct("doc_id", "key", *wide)).alias("least"))
+    nodes = checkpoint(least.select("node", F.struct("least.doc_id", "least.key").alias("least"), *[F.col(f"least.{c}").alias(c) for c in wide]))
+    roots = components(similar_links(marked, nodes, width, share)).withColumnRenamed("node", "member")
+    grouped = nodes.select("node", "least").join(roots, F.col("node") == F.col("member"), "left")
+    least = grouped.groupBy(F.coalesce("root", "node")).agg(F.min("least").alias("least"))
     kept = least.select(F.col("least.doc_id").alias("kept id"), F.col("least.key").alias("kept key"))
     same = F.col("doc_id").eqNullSafe(F.col("kept id")) & (F.col("row key") == F.col("kept key"))
     stay = keyed.join(kept, same, "left_semi")
