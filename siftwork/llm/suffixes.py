@@ -467,7 +467,12 @@ def _merged(begin: np.ndarray, end: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(begin[lead].tolist(), end[np.r_[lead[1:], len(begin)] - 1].tolist(), strict=True))
 
 
-def _pass5(carry: int):
+def _whole(piece: bytes) -> bytes:
+    """A piece of UTF-8 text without what its ends hold of characters that a cut has split."""
+    return piece.decode("utf-8", "ignore").encode()
+
+
+def _pass5(carry: int, characters: bool):
     """What is kept of each document: doc_id, carried columns, n_bytes, spans, kept."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -489,7 +494,8 @@ def _pass5(carry: int):
                 sizes.append(len(raw))
                 spans.append([{"start": x, "length": y - x} for x, y in runs])
                 edges = [0, *(e for run in runs for e in run), len(raw)]
-                kept.append(raw if not runs else b"".join([raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)]))
+                pieces = [raw[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)]
+                kept.append(raw if not runs else b"".join([_whole(x) for x in pieces] if characters else pieces))
             kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
             arrays = [own.column(0), *own.columns[3 : 3 + carry], pa.array(sizes, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", *own.schema.names[3 : 3 + carry], "n_bytes", "spans", "kept"])
@@ -497,10 +503,11 @@ def _pass5(carry: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), characters: bool = False) -> DataFrame:
     """Each row of ``docs`` (doc_id, text): doc_id, the carried columns, n_bytes, spans, kept.
 
-    spans are the maximal removed runs (start, length), in bytes; kept is what remains, joined.
+    spans are the maximal removed runs (start, length), in bytes; kept is what remains, joined. With
+    ``characters`` the rest of a character that a cut has split is not kept either, so kept is UTF-8.
     """
     tasks = partitions(docs.sparkSession)
     # Carried columns travel under numbers, so that none is named as one of these.
@@ -523,7 +530,7 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     contexts = deal(beside(shared.where("kind = 0")).mapInArrow(_pass3(tasks, hot), BLOB))
     removed = contexts.mapInArrow(_pass4(tasks), BLOB)
     carried = "".join(f"`{n}` {kinds[c].simpleString()}, " for c, n in named.items())
-    kept = beside(removed, *named.values()).mapInArrow(_pass5(len(carry)), f"doc_id long, {carried}n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
+    kept = beside(removed, *named.values()).mapInArrow(_pass5(len(carry), characters), f"doc_id long, {carried}n_bytes long, spans array<struct<start: long, length: long>>, kept binary")
     return kept.withColumnsRenamed({n: c for c, n in named.items()})
 
 

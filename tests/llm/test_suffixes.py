@@ -138,3 +138,12 @@ def test_odd_rows_listed_again(frame, odd_pairs):
     plain = [p for p in odd_pairs if p[0] is not None and p[0] != 20]
     wanted = {r[0]: r for r in brute([p for k, p in enumerate(plain) if p not in plain[:k]])}
     assert found(suffixes.remove_repeats(frame(plain))) == sorted(wanted[i] for i, _ in plain)
+
+
+def test_whole_characters_lose_only_split_ones(frame):
+    rng = random.Random(12)
+    passage = "é" + rng.randbytes(60).hex() + "日"
+    pairs = [(1, passage), (2, "keep � here " + passage.encode()[1:].decode("utf-8", "ignore") + "é�"), (3, "x�Ã" + passage[:100] + "ü" + passage + "�")]
+    kept = {r.doc_id: r.kept.decode() for r in suffixes.remove_repeats(frame(pairs), characters=True).collect()}
+    assert kept[1] == passage and kept[2].startswith("keep � here ") and kept[2].endswith("�")
+    assert kept[3].startswith("x�") and kept[3].endswith("�")
