@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -41,6 +42,47 @@ def test_spans_bear_edits(frame):
     assert rows[2].labels == rows[3].labels == "" and rows[3].score == 0
 
 
+def test_words_out_of_order_are_no_span(frame):
+    sentence, whole = licenses.TEMPLATES[2][1].split(), licenses.TEMPLATES[12][1].split()
+    pairs = []
+    for words in (sentence, whole):
+        grams = list(zip(words, words[1:], strict=False))
+        pairs.append(" ".join(w for g in reversed(grams) for w in g))  # every gram, from the last to the first
+        pairs += [" ".join(f"{x} {y} {'filler ' * k}" for x, y in grams) for k in (1, 2, 4, 7)]  # every gram, apart
+        pairs.append(" ".join(w for g in random.Random(1).sample(grams, len(grams)) for w in g))
+    pairs += [" ".join(whole), " ".join(whole[:80] + ["acme", "corporation"] * 4 + whole[80:])]
+    rows = {r.doc_id: r for r in licenses.scan(frame(list(enumerate(pairs)))).collect()}
+    assert all(rows[k].labels == "" and rows[k].score == 0 and not rows[k].spans for k in range(12))
+    assert all(rows[k].labels == "mit" for k in (12, 13)) and rows[12].score == 1
+    lengths = {s.words for s in rows[13].spans if s.cover < 1}
+    assert len(whole) + 8 in lengths
+
+
+def test_texts_without_marks_cannot_have_a_span():
+    for _, _, _, words, needed, _ in licenses._templates():
+        rest = [w if w not in licenses.MARKS else None for w in words]
+        assert sum(1 for x, y in zip(rest, rest[1:], strict=False) if x and y) < needed
+
+
+def test_sql_agrees_on_made_up_texts(spark, frame, tmp_path):
+    rng = random.Random(4)
+    templates = [t.split() for _, t in licenses.TEMPLATES]
+    made = []
+    for k in range(120):
+        words = list(rng.choice(templates))
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randrange(len(words) + 1)
+            words[at : at + rng.randint(0, 3)] = rng.choice([["x"] * rng.randint(0, 5), rng.choice(templates)[:9], ["the", "license"]])
+        made.append((k, " ".join(words)))
+    docs = frame(made)
+    docs.select("doc_id", "text").write.parquet(f"file://{tmp_path}/d")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    columns = "doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score"
+    got = sorted(tuple(r) for r in licenses.scan(docs).select(*columns.split(", ")).collect())
+    assert got == sorted(con.execute(f"SELECT {columns} FROM ({licenses.OP6_SQL})").fetchall())
+
+
 def test_query_matches_sql(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
