@@ -2,6 +2,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from siftwork.llm import mixing
 
@@ -22,7 +23,9 @@ def targets(sizes, weights=(1, 2, 3), most=3):
 
 
 def sized(spark, rows):
-    return spark.createDataFrame(rows, "doc_id long, source string, size long")
+    """Rows (doc_id, source, words) with the columns that the schedule works on."""
+    texts = spark.createDataFrame([(k, i, s, "w " * n) for k, (i, s, n) in enumerate(rows)], "rid long, doc_id long, source string, text string")
+    return mixing.sized(texts)
 
 
 @pytest.mark.parametrize(
@@ -38,18 +41,26 @@ def test_targets_are_the_fixed_point(spark, sizes):
 def test_mix_holds_targets_and_caps(spark):
     rows = [(k, f"s{k % 4}" if k % 4 else None, (k * 37) % 61 + (k % 4 == 0) * 40) for k in range(400)]
     docs = sized(spark, rows)
-    taken = mixing.mix(docs).collect()
+    taken = mixing.schedule(docs).where("words > 0").collect()
     want = targets({s: sum(n for _, t, n in rows if t == s) for s in {t for _, t, _ in rows}})
     got, each = {}, {}
     for r in taken:
         got[r.source] = got.get(r.source, 0) + r.words
         each[r.doc_id] = each.get(r.doc_id, 0) + r.words
-    assert all(abs(got[s] - want[s]) <= 1 for s in want)
+    assert all(abs(got[s] - want[s]) <= 1 for s in want) and sum(got.values()) <= sum(n for _, _, n in rows)
     assert all(each[k] <= 3 * n for k, _, n in rows if k in each)
-    times = [r.virtual_finish for r in taken]
-    assert times == sorted(times)  # one global order
-    assert sum(r.words < r.size for r in taken) <= len(want)  # a source is cut once
-    assert sorted(mixing.mix(docs).collect()) == sorted(taken)
+    assert max(r.virtual_finish for r in taken) == 1
+    assert sum(r.words < r["size"] for r in taken) <= len(want) + 1  # a source is cut once, and the order once
+    assert sorted(map(str, mixing.schedule(docs).where("words > 0").collect())) == sorted(map(str, taken))
+
+
+def test_schedule_is_range_sorted_and_texts_are_read_once(spark, frame, odd_pairs):
+    docs = sized(spark, [(k, f"s{k % 5}", k % 70) for k in range(500)])
+    plan = mixing.schedule(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(slot" in plan and "Python" not in plan and "Arrow" not in plan
+    rows = mixing.mix_documents(docs.select("doc_id", "source", F.concat_ws(" ", F.array_repeat(F.concat(F.lit("w"), "rid"), F.col("size").cast("int"))).alias("text")))
+    served = [len(r.text.split()) for r in rows.collect()]
+    assert sum(served) == sum(k % 70 for k in range(500))
 
 
 def test_query_matches_sql(spark, sf):
@@ -74,5 +85,5 @@ def test_documents_come_back_whole_or_cut(spark, frame, odd_pairs):
 def test_empty_and_wordless(spark, frame):
     assert mixing.mix_documents(frame([])).count() == 0
     assert mixing.mix_documents(frame([(1, None), (2, " "), (None, "")])).count() == 0
-    rows = mixing.allotments(sized(spark, [(1, "a", 0), (2, None, 0)])).collect()
-    assert len(rows) == 2 and all(c.words == 0 for r in rows for c in r.copies)
+    rows = mixing.schedule(sized(spark, [(1, "a", 0), (2, None, 0)])).collect()
+    assert len(rows) == 2 and all(r.words == 0 for r in rows)
