@@ -1,17 +1,19 @@
 """Exact top-k inner products by a three-phase uniform threshold.
 
 A vector's score is the sum of its partial scores over a few lists, each a block of dimensions.
-Phase 1 gathers the best local entries of every list and their sums; the k-th best sum of a query
-over all workers is a cutoff that no result can fall below. Phase 2 sends the cutoff back and shares
-it evenly over the lists (each counted from its local least score, so shares are never negative):
-an entry below its share in every list sums to less than the cutoff and is left. Phase 3 drops
-entries whose upper bound is below the cutoff and resolves the others exactly.
-
-Scale: queries go in blocks of at most ``QUERIES`` and candidates in slices of at most ``ROWS``, by
-hash; a task scores one slice against one block. Slices are as many as the rows need, each phase
-returns at most k entries a query and slice, and all partial scores are held for a few queries at a
-time. Scores are whole numbers and exact: in doubles while they are below 2 ** 53, else in 64-bit
-integers, which they must fit.
+Phase 1 orders every local list that weighs most for a query (its longest part), takes the list's best
+entries and gathers their scores; the k-th best of a query over all workers is a cutoff that no result
+can fall below. Phase 2 sends the cutoff back and shares it evenly over the lists (each counted from its
+local least score, so shares are never negative): an entry below its share in every list sums to less
+than the cutoff and is left. Phase 3 drops entries whose upper bound is below the cutoff and resolves the
+others exactly.
+
+Scale: queries go in blocks and candidates in slices of ``SIDE`` rows alike, by hash, so that neither is copied more
+often than the other; a task scores one slice against one block. Components travel in as few bytes as they
+need. Phase 1 multiplies one list of a query, phase 2 all of them, and neither does so where the lengths of
+a slice's longest parts keep every score below the cutoff. Each phase returns at most k entries a query and slice, and partial
+scores are held for a few queries at a time. Scores are whole numbers and exact: in doubles while
+they are below 2 ** 53, else in 64-bit integers, which they must fit.
 
 Defined results: vectors that are null or hold a null or non-finite component, and null ids, take
 no part; vectors of another length than the query's are no candidates; rows that share the query's
@@ -31,13 +33,26 @@ from pyspark.sql import functions as F
 from .common import partitions, table
 
 LISTS = 4
-QUERIES, ROWS = 4096, 32_768
+SIDE = 32_768
 #: Partial scores of one list that a task holds at once.
 CELLS = 1 << 21
 
 
+def packed(rows: np.ndarray) -> list[bytes]:
+    """Each row of whole numbers as the bytes of one number, then its components, in as many as they need."""
+    most = np.maximum(rows.max(axis=1, initial=0), -1 - rows.min(axis=1, initial=0))
+    sizes = 1 << np.searchsorted([1 << 7, 1 << 15, 1 << 31], most, side="right")
+    out: list[bytes] = [b""] * len(rows)
+    for size in np.unique(sizes).tolist():
+        of = np.flatnonzero(sizes == size)
+        data, step = rows[of].astype(f"<i{size}").tobytes(), rows.shape[1] * size
+        for k, row in enumerate(of.tolist()):
+            out[row] = bytes([size]) + data[k * step : (k + 1) * step]
+    return out
+
+
 def quantize(vectors: DataFrame, factor: int = 256) -> DataFrame:
-    """(vec_id, data): floor(factor * x) of each component as 64-bit integers in bytes."""
+    """(vec_id, data): floor(factor * x) of each component, packed. Components beyond 64 bits take no part."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -47,9 +62,9 @@ def quantize(vectors: DataFrame, factor: int = 256) -> DataFrame:
                 if vec_id is None or values is None or values.null_count:
                     continue
                 x = np.floor(factor * values.to_numpy(zero_copy_only=False).astype(np.float64))
-                if np.isfinite(x).all():
+                if (np.abs(x) < 2.0**63).all():  # and so finite
                     ids.append(vec_id)
-                    data.append(x.astype(np.int64).tobytes())
+                    data += packed(x.astype(np.int64)[None, :])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(data, pa.binary())], ["vec_id", "data"])
 
     return vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(build, "vec_id long, data binary")
@@ -57,30 +72,29 @@ def quantize(vectors: DataFrame, factor: int = 256) -> DataFrame:
 
 def _matrices(block: pa.Table, name: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """length -> (rows of the block, matrix)."""
+    found: dict[tuple[int, int], list[int]] = {}
     data = block[name].to_pylist()
-    lengths = np.array([len(x) // 8 for x in data])
-    found = {}
-    for n in np.unique(lengths).tolist():
-        rows = np.flatnonzero(lengths == n)
-        found[n] = rows, np.frombuffer(b"".join([data[r] for r in rows]), np.int64).reshape(len(rows), n)
-    return found
+    for row, x in enumerate(data):
+        found.setdefault(((len(x) - 1) // x[0], x[0]), []).append(row)
+    out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for n in {n for n, _ in found}:
+        parts = [(np.array(rows), np.frombuffer(b"".join([data[r][1:] for r in rows]), f"<i{size}").reshape(len(rows), n).astype(np.int64)) for (m, size), rows in found.items() if m == n]
+        out[n] = np.concatenate([r for r, _ in parts]), np.concatenate([x for _, x in parts])
+    return out
 
 
-def _partials(candidates: pa.Table, queries: pa.Table) -> Iterator[tuple]:
-    """(candidate ids, query rows, partial scores: list x query x candidate), a few queries at a time."""
+def _lists(candidates: pa.Table, queries: pa.Table) -> Iterator[tuple]:
+    """(candidate ids, query rows, a pair of matrices for each list): candidates and queries of one length."""
     theirs = _matrices(queries, "data")
     ids = candidates["vec_id"].to_numpy()
     for length, (rows, c) in _matrices(candidates, "data").items():
         if length not in theirs or not length:
             continue
         asked, q = theirs[length]
-        exact = int(np.abs(c).max()) * int(np.abs(q).max()) * length < 1 << 53
+        exact = float(np.abs(c.astype(np.float64)).max()) * float(np.abs(q.astype(np.float64)).max()) * length < 1 << 53
         kind = np.float64 if exact else np.int64
         parts = np.array_split(np.arange(length), min(LISTS, length))
-        lists = [(np.ascontiguousarray(c[:, p].T.astype(kind)), q[:, p].astype(kind)) for p in parts]
-        step = max(1, CELLS // len(rows))
-        for k in range(0, len(asked), step):
-            yield ids[rows], asked[k : k + step], np.stack([b[k : k + step] @ a for a, b in lists])
+        yield ids[rows], asked, [(np.ascontiguousarray(c[:, p].T.astype(kind)), q[:, p].astype(kind)) for p in parts]
 
 
 def _best(of: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
@@ -92,36 +106,64 @@ def _best(of: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> np.nda
     return order[rank < k]
 
 
-def _entries(queries: pa.Table, candidates: pa.Table, k: int, cutoff: bool) -> pa.Table:
-    """Phase 1 (no cutoff) or phases 2 and 3 over one slice and block: query_id, vec_id, score."""
+def _norms(x: np.ndarray, axis: int) -> np.ndarray:
+    return np.sqrt((x.astype(np.float64) ** 2).sum(axis=axis))
+
+
+def _seeds(queries: pa.Table, candidates: pa.Table, k: int) -> Iterator[tuple]:
+    """Phase 1 over one slice and block: (query rows, candidate ids, scores) of the best entries of each query's lead list."""
     names = queries["query_id"].to_numpy()
-    limits = queries["cutoff"].to_numpy(zero_copy_only=False) if cutoff else None
-    out: list[list[np.ndarray]] = [[], [], []]
-    for ids, asked, partial in _partials(candidates, queries):
-        own = names[asked][:, None] == ids[None, :]
-        if not cutoff:
-            # The k + 1 best of every list: one of them may be the query's own row.
-            take = min(k + 1, len(ids))
-            top = np.argpartition(-partial, take - 1, axis=2)[:, :, :take]
-            seen = np.zeros(own.shape, bool)
-            for entries in top:
-                np.put_along_axis(seen, entries, True, axis=1)
-        else:
+    for ids, asked, lists in _lists(candidates, queries):
+        lead = np.argmax(np.stack([_norms(q, 1) for _, q in lists]), axis=0)
+        # The k + 1 best of the list: one of them may be the query's own row.
+        take = min(k + 1, len(ids))
+        step = max(1, CELLS // len(ids))
+        for n, (c, q) in enumerate(lists):
+            of = np.flatnonzero(lead == n)
+            for at in range(0, len(of), step):
+                some = of[at : at + step]
+                top = np.argpartition(-(q[some] @ c), take - 1, axis=1)[:, :take]
+                scores = sum(np.einsum("qd,dqt->qt", b[some], a[:, top]) for a, b in lists)
+                rows, place = np.nonzero(ids[top] != names[asked[some]][:, None])
+                yield asked[some][rows], ids[top[rows, place]], scores[rows, place]
+
+
+def _survivors(queries: pa.Table, candidates: pa.Table) -> Iterator[tuple]:
+    """Phases 2 and 3 over one slice and block: (query rows, candidate ids, scores) of all that reach the cutoff."""
+    names = queries["query_id"].to_numpy()
+    limits = queries["cutoff"].to_numpy(zero_copy_only=False).astype(np.float64)
+    for ids, asked, lists in _lists(candidates, queries):
+        # No score of the slice is above the products of the longest parts.
+        most = sum(_norms(q, 1) * _norms(c, 0).max() for c, q in lists)
+        asked_here = np.flatnonzero(most * (1 + 1e-9) + 1 >= limits[asked])
+        step = max(1, CELLS // len(ids))
+        for at in range(0, len(asked_here), step):
+            some = asked_here[at : at + step]
+            limit = limits[asked[some]]
+            partial = np.stack([q[some] @ c for c, q in lists])
             least = partial.min(axis=2)
-            limit = limits[asked].astype(np.float64)
             share = np.where(np.isfinite(limit), (limit - least.sum(axis=0)) / len(partial), -np.inf)
             bounds = least + share[None, :]
             high = partial >= bounds[:, :, None] - 1e-6
-            seen = high.any(axis=0)
-            upper = np.where(high, partial, bounds[:, :, None]).sum(axis=0)
-            seen &= upper >= limit[:, None] - 1e-3
-        q, c = np.nonzero(seen & ~own)
-        scores = partial[:, q, c].sum(axis=0).astype(np.int64)
-        if cutoff:
-            kept = scores >= limit[q]
-            q, c, scores = q[kept], c[kept], scores[kept]
-        best = _best(q, ids[c], scores, k)
-        for column, value in zip(out, (names[asked][q[best]], ids[c[best]], scores[best]), strict=True):
+            seen = high.any(axis=0) & (names[asked[some]][:, None] != ids[None, :])
+            # The upper bound is looked at where an entry is high in some list.
+            rows, place = np.nonzero(seen)
+            upper = np.where(high[:, rows, place], partial[:, rows, place], bounds[:, rows]).sum(axis=0)
+            kept = upper >= limit[rows] - 1e-3
+            rows, place = rows[kept], place[kept]
+            scores = partial[:, rows, place].sum(axis=0)
+            kept = scores >= limit[rows]
+            yield asked[some][rows[kept]], ids[place[kept]], scores[kept]
+
+
+def _entries(queries: pa.Table, candidates: pa.Table, k: int, cutoff: bool) -> pa.Table:
+    """The k best entries of every query in one slice: query_id, vec_id, score."""
+    names = queries["query_id"].to_numpy()
+    out: list[list[np.ndarray]] = [[], [], []]
+    for q, c, scores in _survivors(queries, candidates) if cutoff else _seeds(queries, candidates, k):
+        scores = scores.astype(np.int64)
+        best = _best(q, c, scores, k)
+        for column, value in zip(out, (names[q[best]], c[best], scores[best]), strict=True):
             column.append(value)
     joined = [np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64) for x in out]
     return pa.table(dict(zip(["query_id", "vec_id", "score"], joined, strict=True)))
@@ -134,9 +176,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """
     spark = vectors.sparkSession
     queries = queries.groupBy(F.col("vec_id").alias("query_id")).agg(F.min("data").alias("data"))
-    blocks = max(1, -(-queries.count() // QUERIES))
+    blocks = max(1, -(-queries.count() // SIDE))
     tasks = partitions(spark)
-    slices = max(tasks, min(4 * tasks, 64), -(-vectors.count() // ROWS))
+    slices = max(tasks, min(4 * tasks, 64), -(-vectors.count() // SIDE))
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
     slice_ = F.pmod(F.xxhash64("vec_id"), F.lit(slices)).cast("int")
     sliced = vectors.select(slice_.alias("s"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), "vec_id", "data")
