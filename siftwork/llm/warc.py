@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh_dir, partitions, table
+from .common import checkpoint, fresh_dir, partitions, table
 from .files import committed, open_file
 
 #: Compressed bytes after which a file is closed.
@@ -94,7 +94,8 @@ def plan_records(pages: DataFrame, revisit_bytes: int = 0) -> DataFrame:
     """Rows for the writer: the pages (kind 1) and, before them, what revisits refer to (kind 0)."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
     keys = pages.select(F.col("page_id").cast("long").alias("page_id"), F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size")).where(F.col("size") >= revisit_bytes)
-    groups = keys.groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1")
+    # A table of its own: so AQE can split a digest that very many pages share.
+    groups = checkpoint(keys.groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1"))
     revisits = keys.join(groups, "digest").where(~F.col("page_id").eqNullSafe(F.col("response")))
     shown = revisits.select("page_id", F.lit(0).alias("kind"), "digest", F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"), F.col("response").alias("refers_to"))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("digest"), "url", F.coalesce("html", F.lit("")).alias("html"), F.lit(None).cast("long").alias("refers_to"))
