@@ -223,25 +223,48 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 4) -> DataFrame
     return marked.join(classes, F.col("fp") == F.col("f")).select("doc_id", "fp", "component_id")
 
 
-#: A wide fingerprint's 64-bit words and the bits beyond which two texts cannot be 0.8 similar. Two sets of distinct shingles
-#: of that similarity differ in a bit with probability 0.152 (at most 0.1875, sets of 5 and 4), so that a pair is lost with
-#: probability 3e-11 (at most 6e-7).
-WIDE, FAR = 4, 80
+#: A wide fingerprint's 64-bit words, and the bits beyond which two texts cannot be 0.8 similar: of sets of 16 shingles or
+#: more, and of smaller ones. Two sets of distinct shingles of that similarity differ in a bit with probability 0.152
+#: (at most 0.159 of the larger, 0.1875 of the smaller), so a pair is lost with probability 4e-8 (at most 3e-7, 6e-7).
+WIDE, MANY, FAR, FAR_OF_FEW = 4, 16, 72, 80
 #: Reference fingerprints whose distances travel with a wide fingerprint, 16 bits each.
 COORDINATES = 4
 #: Rows whose shingles are counted for the order of rarity, least count and number of those that are told apart.
 SAMPLE, FEW, COMMON = 20_000, 2, 1 << 17
+#: Words whose hashes a task holds.
+KNOWN = 1 << 18
 #: Orders by which a key's leader is chosen, so that a group's members meet several leaders.
 ORDERS = 4
 
 
-def shingle_set(words: bytes, width: int) -> np.ndarray:
-    """The distinct shingle hashes of words joined by blanks."""
-    return np.unique(np.array(shingle_hashes(words.decode(), width), np.uint64))
+class WordHashes(dict):
+    """Hashes of words; so many of them are held."""
 
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh64_intdigest(word, SEED)
+        if len(self) < KNOWN:
+            self[word] = value
+        return value
 
-def _joined(text: str | None) -> bytes:
-    return b" ".join((text or "").encode().lower().split())
+
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode().lower().split()
+
+
+def shingle_set(words: list[bytes], width: int, hashes: WordHashes) -> np.ndarray:
+    """The distinct hashes of runs of ``width`` words (fewer words: all of them), sorted.
+
+    A run's hash is made of its words' hashes, each times an odd number of its place.
+    """
+    if not words:
+        return np.empty(0, np.uint64)
+    of = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    width = min(width, len(of))
+    runs = len(of) - width + 1
+    total = np.full(runs, width, np.uint64)
+    for k in range(width):
+        total += of[k : k + runs] * np.uint64(pow(0x9E3779B97F4A7C15, 2 * k + 1, 1 << 64))
+    return np.unique(_mixed(total, WIDE))
 
 
 def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
@@ -261,8 +284,9 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
-            sets = [np.unique(np.array(shingle_hashes(text.as_py(), width), np.uint64)) for text in batch.column(0)]
+            sets = [shingle_set(words_of(text.as_py()), width, hashes) for text in batch.column(0)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))], ["h"])
 
     part = max(1, docs.count() // SAMPLE)
@@ -298,21 +322,22 @@ def signed(docs: DataFrame, width: int, share: Fraction, common: tuple[np.ndarra
         return own[first[often]], own[first[~often]]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(level=1)
+        packer, hashes = zstandard.ZstdCompressor(level=1), WordHashes()
         for batch in batches:
             at = 0
             while at < batch.num_rows:
                 start, held, nodes, packed, sets = at, 0, [], [], []
                 while at < batch.num_rows and held < STEP:
-                    words = _joined(batch.column(2)[at].as_py())
-                    nodes.append(xxhash.xxh64_intdigest(words, SEED))
-                    packed.append(packer.compress(words))
-                    sets.append(shingle_set(words, width))
+                    words = words_of(batch.column(2)[at].as_py())
+                    joined = b" ".join(words)
+                    nodes.append(xxhash.xxh64_intdigest(joined, SEED))
+                    packed.append(packer.compress(joined))
+                    sets.append(shingle_set(words, width, hashes))
                     held += len(sets[-1])
                     at += 1
                 counts = np.array([len(x) for x in sets], np.int64)
-                hashes = np.concatenate(sets)
-                wide = np.stack([majority(_mixed(hashes, w), counts) for w in range(WIDE)], axis=1)
+                every = np.concatenate(sets)
+                wide = np.stack([majority(_mixed(every, w), counts) for w in range(WIDE)], axis=1)
                 far = np.zeros(len(sets), np.int64)
                 for k, p in enumerate(pivots):
                     far |= np.bitwise_count(wide ^ p).sum(axis=1, dtype=np.int64) << (16 * k)
@@ -343,10 +368,11 @@ def may_be_similar(a: str, b: str, share: Fraction) -> Column:
     """Whether rows a and b may reach ``share``: by sizes, by distances to the reference fingerprints, by their own distance."""
     x, y = (lambda side: lambda c: F.col(f"{side}.{c}"))(a), (lambda side: lambda c: F.col(f"{side}.{c}"))(b)
     fits = (F.least(x("n"), y("n")) * F.lit(share.denominator)) >= (F.greatest(x("n"), y("n")) * F.lit(share.numerator))
+    far = F.when(F.greatest(x("n"), y("n")) < MANY, FAR_OF_FEW).otherwise(FAR)
     for k in range(COORDINATES):
         at = lambda c: F.shiftrightunsigned(c, 16 * k).bitwiseAND(F.lit(0xFFFF))  # noqa: B023, E731
-        fits &= F.abs(at(x("coordinates")) - at(y("coordinates"))) <= FAR
-    return fits & (sum(F.bit_count(x(f"f{w}").bitwiseXOR(y(f"f{w}"))) for w in range(WIDE)) <= FAR)
+        fits &= F.abs(at(x("coordinates")) - at(y("coordinates"))) <= far
+    return fits & (sum(F.bit_count(x(f"f{w}").bitwiseXOR(y(f"f{w}"))) for w in range(WIDE)) <= far)
 
 
 def leader_pairs(shared: DataFrame, share: Fraction) -> DataFrame:
@@ -380,13 +406,13 @@ def similar(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, width: int, s
     """Those of ``pairs`` (u, v) whose distinct shingles have a Jaccard of at least ``share``, computed in full."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacker, held = zstandard.ZstdDecompressor(), {}
+        unpacker, held, hashes = zstandard.ZstdDecompressor(), {}, WordHashes()
 
         def shingles(node: int, words: pa.Scalar) -> np.ndarray:
             if node not in held:
                 if len(held) >= 64:
                     held.pop(next(iter(held)))
-                held[node] = shingle_set(unpacker.decompress(words.as_py()), width)
+                held[node] = shingle_set(unpacker.decompress(words.as_py()).split(), width, hashes)
             return held[node]
 
         for batch in batches:
