@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,12 +32,13 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
     It is spark.checkpoint.dir where the session names one; a folder of this machine is taken
-    only where the setting is empty, as in local tests.
+    only where the setting is empty and the session is local, as in tests.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/siftwork-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 

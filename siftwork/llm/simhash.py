@@ -18,7 +18,8 @@ each returned; an empty table gives no rows. Extra columns of the input are not
 
 ``one_of_each`` wants the Jaccard of the texts' distinct shingles. Texts meet under keys of a prefix filter,
 which misses no pair; wide fingerprints of the distinct shingles, compared through the same kind of
-pivot table, discard the pairs that are too far apart, and survivors are computed in full.
+pivot table, discard the pairs that are too far apart, and survivors are computed in full: within groups
+by matrix products over blocks, between groups pair by pair.
 """
 
 from __future__ import annotations
@@ -231,6 +232,8 @@ WIDE, MANY, FAR, FAR_OF_FEW = 4, 16, 72, 80
 COORDINATES = 4
 #: Rows whose shingles are counted for the order of rarity, least count and number of those that are told apart.
 SAMPLE, FEW, COMMON = 20_000, 2, 1 << 17
+#: Nodes of a block of a group, and owners up to which an element's pairs are counted one by one.
+BLOCK, FEW_OWNERS = 1024, 12
 #: Words whose hashes a task holds.
 KNOWN = 1 << 18
 #: Orders by which a key's leader is chosen, so that a group's members meet several leaders.
@@ -385,14 +388,14 @@ def leader_pairs(shared: DataFrame, share: Fraction) -> DataFrame:
     rest = [c for c in shared.columns if c not in ("key", "rank")]
     leaders = checkpoint(shared.groupBy("key").agg(F.min(F.struct(rank.alias("rank"), *rest)).alias("leader")).select("key", "leader.*"))
     met = shared.alias("a").join(leaders.alias("b"), (F.col("a.key") == F.col("b.key")) & (F.col("a.node") != F.col("b.node")) & may_be_similar("a", "b", share))
-    return met.select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct()
+    return met.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
 
 
 def cross_pairs(rooted: DataFrame, share: Fraction) -> DataFrame:
-    """(u, v): all pairs that may be similar under a key of ``rooted`` and are in different components.
+    """(u, v): all pairs that may be similar under a key of ``rooted`` and are in different groups (root).
 
-    Rows outside the component that a key's least root names meet all rows of the key, so a key
-    that is nearly one component costs little. The join's condition drops the other pairs.
+    Rows outside the group that a key's least root names meet all rows of the key, so a key that is
+    nearly one group costs little. The join's condition drops the other pairs.
     """
     least = checkpoint(rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most"))
     mixed = checkpoint(rooted.join(least.select(F.col("key").alias("k"), "least"), F.col("key") == F.col("k")).drop("k"))
@@ -402,7 +405,92 @@ def cross_pairs(rooted: DataFrame, share: Fraction) -> DataFrame:
     return met.select(F.greatest("a.node", "b.node").alias("u"), F.least("a.node", "b.node").alias("v")).distinct()
 
 
-def similar(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, width: int, share: Fraction) -> DataFrame:
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """How many elements any two of the sets have in common (their sizes on the diagonal are not kept)."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(x) for x in sets])
+    _, of, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(of, kind="stable")
+    owner, start = owner[order], np.cumsum(count) - count
+    common = np.zeros((n, n), np.float32)
+    places = []
+    for c in np.unique(count[(count > 1) & (count <= FEW_OWNERS)]).tolist():
+        held = owner[start[count == c][:, None] + np.arange(c)]
+        places += [held[:, i] * n + held[:, j] for i in range(c) for j in range(i + 1, c)]
+    if places:
+        common += np.bincount(np.concatenate(places), minlength=n * n).reshape(n, n)
+        common += common.T
+    often = np.flatnonzero(count > FEW_OWNERS)
+    for k in range(0, len(often), 4096):
+        some = often[k : k + 4096]
+        has = np.zeros((n, len(some)), np.float32)
+        held = np.repeat(np.arange(len(some)), count[some])
+        has[owner[np.repeat(start[some], count[some]) + np.arange(len(held)) - np.repeat(np.cumsum(count[some]) - count[some], count[some])], held] = 1
+        common += has @ has.T
+    return common
+
+
+def groups_among(sets: list[np.ndarray], share: Fraction) -> np.ndarray:
+    """Each set's group: the least place that links of Jaccard ``share`` reach from it."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    near = (share.numerator + share.denominator) * overlaps(sets).astype(np.int64) >= share.numerator * (sizes[:, None] + sizes[None, :])
+    np.fill_diagonal(near, True)
+    group = np.arange(len(sets))
+    while True:
+        least = np.where(near, group[None, :], len(sets)).min(axis=1)
+        least = np.minimum(least, least[least])
+        if (least == group).all():
+            return group
+        group = least
+
+
+def links_within(members: DataFrame, texts: DataFrame, width: int, share: Fraction) -> DataFrame:
+    """Links (u, v) that connect what is similar within each group of ``members`` (node, root).
+
+    A group goes in blocks of at most ``BLOCK`` nodes, and every two blocks meet in a task of their own, where all
+    pairs are computed by matrix products and only a tree of each component leaves.
+    """
+    sizes = checkpoint(members.groupBy("root").count().select(F.col("root").alias("r"), F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")))
+    sized = members.join(sizes, F.col("root") == F.col("r")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = sized.select("node", "root", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    met = met.select("node", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = met.withColumnRenamed("node", "member").join(texts, F.col("member") == F.col("node")).select("root", "i", "j", "node", "words")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker, hashes = zstandard.ZstdDecompressor(), WordHashes()
+        current, nodes, sets, out = None, [], [], []
+
+        def ended() -> None:
+            if len(sets) > 1:
+                group = groups_among(sets, share)
+                for k in np.flatnonzero(group != np.arange(len(group))).tolist():
+                    out.append((nodes[k], nodes[group[k]]))
+            nodes.clear()
+            sets.clear()
+
+        def links() -> pa.RecordBatch:
+            columns = [pa.array([link[side] for link in out], pa.int64()) for side in (0, 1)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(columns, ["u", "v"])
+
+        for batch in batches:
+            for root, i, j, node, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (root, i, j) != current:
+                    ended()
+                    current = root, i, j
+                nodes.append(node)
+                sets.append(shingle_set(unpacker.decompress(words).split(), width, hashes))
+            if out:
+                yield links()
+        ended()
+        if out:
+            yield links()
+
+    dealt = rows.repartition(partitions(rows.sparkSession), "root", "i", "j").sortWithinPartitions("root", "i", "j", "node")
+    return dealt.mapInArrow(find, "u long, v long")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, width: int, share: Fraction) -> DataFrame:
     """Those of ``pairs`` (u, v) whose distinct shingles have a Jaccard of at least ``share``, computed in full."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -423,29 +511,29 @@ def similar(pairs: DataFrame, marked: DataFrame, nodes: DataFrame, width: int, s
                 good.append(share.denominator * both >= share.numerator * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(good, pa.bool_())) for c in batch.columns[:2]], ["u", "v"])
 
-    # Only the words of nodes in a pair travel, of one row each.
-    wanted = pairs.select(F.col("u").alias("wanted")).union(pairs.select("v")).distinct()
-    rows = checkpoint(nodes.join(wanted, F.col("node") == F.col("wanted")).select(F.col("least.key").alias("row")))
-    texts = checkpoint(marked.select("key", "node", "words").join(rows, F.col("key") == F.col("row"), "left_semi").dropDuplicates(["node"]))
     side = lambda name, words: texts.select(F.col("node").alias(name), F.col("words").alias(words))
     joined = pairs.join(side("u", "words u"), "u").join(side("v", "words v"), "v")
     return joined.select("u", "v", "words u", "words v").mapInArrow(check, "u long, v long")
 
 
 def similar_links(marked: DataFrame, nodes: DataFrame, width: int, share: Fraction) -> DataFrame:
-    """Links (u, v) that connect all ``nodes`` of Jaccard at least ``share``; every link has it.
+    """Links (u, v) that connect all ``nodes`` of Jaccard at least ``share``, and no others.
 
-    First each key's nodes are compared with its leader; then all pairs under a key that are not
-    connected yet.
+    Pairs of a key's leader and another row that may be similar make groups, within which all pairs are computed;
+    pairs under a key that are in different groups are computed one by one. So a group of near copies sends
+    its members, not its pairs.
     """
     keys = shared_keys(marked).withColumnRenamed("node", "at")
     shared = checkpoint(keys.join(nodes.drop("least"), F.col("at") == F.col("node")).drop("at"))
-    pairs = checkpoint(leader_pairs(shared, share).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    links = checkpoint(similar(pairs, marked, nodes, width, share))
-    roots = components(links).withColumnRenamed("node", "member")
+    members = checkpoint(components(leader_pairs(shared, share)))
+    roots = members.select(F.col("node").alias("member"), "root")
     rooted = checkpoint(shared.join(roots, F.col("node") == F.col("member"), "left").select(*shared.columns, F.coalesce("root", "node").alias("root")))
-    more = checkpoint(cross_pairs(rooted, share).join(pairs, ["u", "v"], "left_anti"))
-    return links.union(similar(more, marked, nodes, width, share))
+    pairs = checkpoint(cross_pairs(rooted, share))
+    # Only the words of nodes in a group or pair travel, of one row each.
+    wanted = members.select(F.col("node").alias("wanted")).union(pairs.select("u")).union(pairs.select("v")).distinct()
+    rows = checkpoint(nodes.join(wanted, F.col("node") == F.col("wanted")).select(F.col("least.key").alias("row")))
+    texts = checkpoint(marked.select("key", "node", "words").join(rows, F.col("key") == F.col("row"), "left_semi").dropDuplicates(["node"]).select("node", "words"))
+    return links_within(members, texts, width, share).union(similar(pairs, texts, width, share))
 
 
 def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -151,3 +151,26 @@ def test_one_of_each_misses_no_pair(frame, seed):
         pairs.append([*group[:at], *say(rng.randint(1, 9)), *group[at + rng.randint(0, 6) :]])
     pairs = [(k, " ".join(w)) for k, w in enumerate(pairs)]
     assert [r.doc_id for r in simhash.one_of_each(frame(pairs)).orderBy("doc_id").collect()] == one_of_each_by_brute_force(pairs)
+
+
+def test_overlaps_are_counted(monkeypatch):
+    rng = np.random.default_rng(3)
+    core = rng.integers(0, 1 << 63, 60).astype(np.uint64)
+    sets = [np.unique(np.concatenate([rng.choice(core, rng.integers(1, 60), replace=False), rng.integers(0, 40, 9).astype(np.uint64)])) for _ in range(40)]
+    for few in (1, 5, 50):
+        monkeypatch.setattr(simhash, "FEW_OWNERS", few)
+        got = simhash.overlaps(sets)
+        assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(40) for j in range(40) if i != j)
+
+
+def test_groups_in_blocks(frame, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 7)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(150)]
+    pairs = []
+    for k in range(60):  # near copies of one text, of which many are not similar to each other
+        words = list(base)
+        for _ in range(rng.randint(0, 7)):
+            words[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        pairs.append((k, " ".join(words)))
+    assert [r.doc_id for r in simhash.one_of_each(frame(pairs)).orderBy("doc_id").collect()] == one_of_each_by_brute_force(pairs)
