@@ -35,6 +35,8 @@ TASKS = {
     "complex_calculation": (10, ("numeric_approx", "numeric_exact", "integer")),
     "hypothetical_reasoning": (7, ("numeric_approx", "choice", "short_phrase", "boolean")),
 }
+#: Characters of a caption that a prompt quotes.
+PROMPT_CAPTION = 5000
 #: Task and length of its run in the cyclic assignment.
 CYCLE = (
     ("descriptive_extraction", 20),

@@ -1,7 +1,7 @@
 """The model-call operator: one external call a row, with retries, a rate limit and dead letters.
 
 A ``ModelClient`` is built once a worker from a picklable factory and called from a bounded pool of threads; rows
-stream through, at most ``pending`` in flight, and leave in order. A call has an outside effect, so its result must be
+stream through, at most ``pending`` in flight, and leave as their calls end. A call has an outside effect, so its result must be
 written before it is used twice; ``run_stage`` does that and skips what is already done.
 """
 
@@ -12,9 +12,8 @@ import json
 import random
 import re
 import time
-from collections import deque
 from collections.abc import Callable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from typing import Protocol
 
@@ -122,8 +121,8 @@ def call(client: ModelClient, prompt: str, image: str | None, settings: dict, ho
 def call_model(rows: DataFrame, prompt: str, factory: Callable[[], ModelClient], settings: str | None = None, image: str | None = None, how: Calling = Calling(), check: Callable[[str], None] | None = None) -> DataFrame:  # noqa: B008
     """Adds raw_response, call_error and attempts to every row.
 
-    ``settings`` names a column with a JSON object for the client. Arrow batches are small slices of the partition; only ``how.pending``
-    calls are in flight.
+    ``settings`` names a column with a JSON object for the client. At most ``how.pending`` calls are in flight; rows leave as
+    their calls end, not in the order they came.
     """
     from pyspark.sql import types as St
 
@@ -132,19 +131,42 @@ def call_model(rows: DataFrame, prompt: str, factory: Callable[[], ModelClient],
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client, limiter = factory(), RateLimiter(how.per_second)
-        with ThreadPoolExecutor(how.threads) as pool:
+
+        def waiting() -> Iterator[tuple[pd.DataFrame, int, tuple]]:
             for batch in batches:
-                flying: deque = deque()
-                found = []
-                for k in range(len(batch)):
-                    given = batch.iloc[k]
-                    options = json.loads(given[settings]) if settings and given[settings] else {}
-                    picture = given[image] if image else None
-                    flying.append(pool.submit(call, client, given[prompt] or "", picture, options, how, limiter, check))
-                    if len(flying) >= how.pending:
-                        found.append(flying.popleft().result())
-                found += [f.result() for f in flying]
-                yield batch.assign(**{f.name: [r[j] for r in found] for j, f in enumerate(added)})
+                options = batch[settings] if settings else [None] * len(batch)
+                pictures = batch[image] if image else [None] * len(batch)
+                for k, given in enumerate(zip(batch[prompt], pictures, options, strict=True)):
+                    yield batch, k, given
+
+        def done(landed: list[tuple[pd.DataFrame, int, tuple]]) -> Iterator[pd.DataFrame]:
+            of: dict[int, tuple[pd.DataFrame, list, list]] = {}
+            for batch, k, result in landed:
+                _, places, results = of.setdefault(id(batch), (batch, [], []))
+                places.append(k)
+                results.append(result)
+            for batch, places, results in of.values():
+                yield batch.iloc[places].assign(**{f.name: [r[j] for r in results] for j, f in enumerate(added)})
+
+        with ThreadPoolExecutor(how.threads) as pool:
+            # A call that ends makes room for the next row at once, whichever it was; what has ended goes on.
+            flying: dict[Future, tuple[pd.DataFrame, int]] = {}
+            rows_left, more = waiting(), True
+            landed: list[tuple[pd.DataFrame, int, tuple]] = []
+            while more or flying:
+                while more and len(flying) < how.pending:
+                    row = next(rows_left, None)
+                    if row is None:
+                        more = False
+                        break
+                    batch, k, (text, picture, options) = row
+                    flying[pool.submit(call, client, text or "", picture, json.loads(options) if options else {}, how, limiter, check)] = batch, k
+                if flying:
+                    ended, _ = wait(flying, return_when=FIRST_COMPLETED)
+                    landed += [(*flying.pop(f), f.result()) for f in ended]
+                if len(landed) >= how.pending or not flying:
+                    yield from done(landed)
+                    landed = []
 
     return rows.mapInPandas(run, schema)
 

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
+import posixpath
+import re
 import time
+from collections.abc import Callable
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .store import filesystem
+from .store import checkpoint, filesystem
 
 
 def write_lines(rows: DataFrame, path: str, order: list[str] | None = None) -> int:
-    """Replace a JSON-line table, keys in sorted order, nulls kept; returns the rows written."""
+    """Replace a JSON-line table, keys in sorted order, nulls kept; returns the rows written, counted as they are written."""
     ordered = rows.orderBy(*order) if order else rows
-    ordered.select(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
-    return rows.sparkSession.read.text(path).count()
+    written = Observation()
+    lines = ordered.select(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias("value"))
+    lines.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").text(path)
+    return written.get["rows"]
 
 
 def append_lines(rows: DataFrame, path: str) -> None:
@@ -24,18 +31,34 @@ def append_lines(rows: DataFrame, path: str) -> None:
     rows.select(F.to_json(F.struct(*sorted(rows.columns)), {"ignoreNullFields": "false"}).alias("value")).write.mode("append").text(path)
 
 
-def replace_table(rows: DataFrame, path: str) -> None:
-    """Write beside a Parquet table and swap folders; the table may be one of the rows' own inputs."""
+def replace_table(rows: DataFrame, path: str, write: Callable[[DataFrame, str], None] = lambda rows, to: rows.write.parquet(to)) -> None:
+    """Write beside a table and swap folders; the table may be one of the rows' own inputs.
+
+    Between the two renames the table is absent, under a name that ``recover_table`` puts back if the driver is lost there.
+    """
     spark = rows.sparkSession
-    staged, old = f"{path}.staged-{time.time_ns()}", f"{path}.old-{time.time_ns()}"
-    rows.write.parquet(staged)
+    recover_table(spark, path)
+    staged, old = f"{path}.staged-{time.time_ns()}", f"{path}.old"
+    write(rows, staged)
     fs, target = filesystem(spark, path)
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     if fs.exists(target):
         fs.rename(target, at(old))
     fs.rename(at(staged), target)
-    if fs.exists(at(old)):
-        fs.delete(at(old), True)
+    fs.delete(at(old), True)
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Put a table back that a lost driver left between its two names; whether that was so."""
+    fs, target = filesystem(spark, path)
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.old")
+    if not fs.exists(old):
+        return False
+    if fs.exists(target):  # the new table is in place: only the old one was not deleted
+        fs.delete(old, True)
+        return False
+    fs.rename(old, target)
+    return True
 
 
 def backup(spark: SparkSession, path: str) -> str | None:
@@ -58,9 +81,10 @@ def write_shards(rows: DataFrame, path: str, shards: int, order: list[F.Column])
 
 
 def split_writes(rows: DataFrame, tables: dict[str, F.Column]) -> None:
-    """Write each named path its rows of one materialised frame (successes, failures, failures of a kind)."""
+    """Write each named path its rows (successes, failures, failures of a kind); the rows are computed once."""
+    held = checkpoint(rows)
     for path, condition in tables.items():
-        rows.where(condition).write.mode("append").parquet(path)
+        held.where(condition).write.mode("append").parquet(path)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
@@ -96,21 +120,66 @@ def sampling_markdown(title: str, samples: dict[str, list[dict]], leaks: dict[st
     return "\n".join(lines)
 
 
-def review_page(rows: list[dict], fields: list[str], image: str | None = None, title: str = "Review") -> str:
-    """A static page of complete rows, everything escaped."""
-    esc = lambda v: html.escape("" if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False, default=str)[:1200])
-    parts = [f"<!doctype html><meta charset=utf-8><title>{esc(title)}</title>"]
+def compact_json(value: object, most: int = 0) -> str:
+    """Text as it is, anything else as JSON; cut to ``most`` characters where that is given, with a mark that it is."""
+    shown = "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False, default=str, sort_keys=True)
+    return shown if not most or len(shown) <= most else shown[:most] + " …"
+
+
+def review_page(rows: list[dict], fields: list[str], image: str | None = None, title: str = "Review", links: dict[str, str] | None = None, most: int = 0) -> str:
+    """A static page of complete rows, everything escaped.
+
+    ``links`` names fields whose value is a path, with the text they are shown by; ``most`` cuts long values.
+    """
+    esc = lambda v: html.escape(compact_json(v, most))
+    parts = [f"<!doctype html><meta charset=utf-8><title>{esc(title)}</title><h1>{esc(title)}</h1><p>{len(rows)} rows</p>"]
     for row in rows:
-        picture = f'<img src="{esc(row.get(image))}" loading=lazy>' if image else ""
-        parts.append(f"<section>{picture}<dl>" + "".join(f"<dt>{esc(f)}</dt><dd>{esc(row.get(f))}</dd>" for f in fields) + "</dl></section>")
+        picture = f'<img src="{html.escape(str(row.get(image) or ""))}" loading=lazy>' if image else ""
+        shown = [f"<dt>{esc(f)}</dt><dd>{esc(row.get(f))}</dd>" for f in fields]
+        shown += [f'<dt>{esc(f)}</dt><dd><a href="{html.escape(str(row[f]))}">{esc(text)}</a></dd>' for f, text in (links or {}).items() if row.get(f)]
+        parts.append(f"<section>{picture}<dl>{''.join(shown)}</dl></section>")
     return "\n".join(parts)
 
 
+def chat_page(rows: list[dict], messages: str, image: str | None = None, title: str = "Conversations") -> str:
+    """A static page of training examples: each row's turns in order."""
+    parts = [f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title>"]
+    for row in rows:
+        picture = f'<img src="{html.escape(str(row.get(image) or ""))}" loading=lazy>' if image else ""
+        turns = "".join(f'<p class="{html.escape(str(m["role"]))}"><b>{html.escape(str(m["role"]))}</b> {html.escape(str(m["content"]))}</p>' for m in row.get(messages) or [])
+        parts.append(f"<article>{picture}{turns}</article>")
+    return "\n".join(parts)
+
+
+def table_page(rows: list[dict], fields: list[str], title: str = "Summary") -> str:
+    """A static page with one table: a report's rows."""
+    head = "".join(f"<th>{html.escape(f)}</th>" for f in fields)
+    body = "".join("<tr>" + "".join(f"<td>{html.escape(compact_json(row.get(f)))}</td>" for f in fields) + "</tr>" for row in rows)
+    return f"<!doctype html><meta charset=utf-8><title>{html.escape(title)}</title><table><tr>{head}</tr>{body}</table>"
+
+
+def export_page(spark: SparkSession, page: str, folder: str, name: str = "index.html") -> list[str]:
+    """Write a page with the images it shows beside it; returns the images that could not be copied.
+
+    Images are named by a hash of their path, so that equal names of different folders do not meet.
+    """
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    assets: dict[str, str] = {}
+    for path in sorted({unquote(x) for x in re.findall(r'src="file://([^"]+)"', page)}):
+        source_fs, source = filesystem(spark, f"file://{path}")
+        if source_fs.exists(source):
+            asset = f"assets/{hashlib.sha1(path.encode()).hexdigest()[:16]}{posixpath.splitext(path)[1].lower()}"
+            to_fs, to = filesystem(spark, f"{folder}/{asset}")
+            jvm.FileUtil.copy(source_fs, source, to_fs, to, False, True, conf)
+            assets[path] = asset
+    written, missing = rewrite_images(page, assets)
+    write_text(spark, f"{folder}/{name}", written)
+    return missing
+
+
 def rewrite_images(page: str, assets: dict[str, str]) -> tuple[str, list[str]]:
     """A page whose file:// images point to exported assets, and the images that have none."""
-    import re
-    from urllib.parse import unquote
-
     missing: list[str] = []
 
     def one(match: re.Match) -> str:

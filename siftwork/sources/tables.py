@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Bytes of a tailed file that are read at once.
+TAIL_BYTES = 8 << 20
+
+
 def read_lines(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """A JSON-line table; blank lines are skipped and a line that is no object of the schema fails the read."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -35,6 +39,62 @@ def repair_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return lines.where(good), lines.where(~good)
 
 
+def repair_table(spark: SparkSession, path: str) -> tuple[str | None, int, int]:
+    """Rewrite a JSON-line table with its good lines only: (the copy kept of it, good lines, broken lines).
+
+    A table without broken lines is left as it is. The broken lines stay in the copy.
+    """
+    from .sinks import backup, replace_table
+
+    good, broken = repair_lines(spark, path)
+    bad, fine = broken.count(), good.count()
+    if not bad:
+        return None, fine, 0
+    copy = backup(spark, path)
+    replace_table(good, path, lambda rows, to: rows.write.text(to))
+    return copy, fine, bad
+
+
+def tail_lines(files: DataFrame, offsets: DataFrame | None = None) -> DataFrame:
+    """(path, value, until): the whole lines of each file after its offset, for files that a producer still appends to.
+
+    ``files`` has path, ``offsets`` path and until (a file's last, as an earlier call gave it). A last line without
+    its line end is left for a later call, blank lines count in the offset and are no rows. ``until`` is the place after the
+    row's line, in bytes.
+    """
+    from collections.abc import Iterator
+
+    import pandas as pd
+    from pyarrow import fs
+
+    rows = files.select("path").distinct()
+    if offsets is not None:
+        last = offsets.groupBy(F.col("path").alias("file")).agg(F.max("until").alias("since"))
+        rows = rows.join(last, F.col("path") == F.col("file"), "left").select("path", F.coalesce("since", F.lit(0)).alias("since"))
+    else:
+        rows = rows.withColumn("since", F.lit(0).cast("long"))
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, since in zip(batch["path"], batch["since"], strict=True):
+                system, name = fs.FileSystem.from_uri(path)
+                with system.open_input_file(name) as stream:
+                    stream.seek(int(since))
+                    at, rest = int(since), b""
+                    while piece := stream.read(TAIL_BYTES):
+                        lines = (rest + piece).split(b"\n")
+                        rest = lines.pop()
+                        found = []
+                        for line in lines:
+                            at += len(line) + 1
+                            if line.strip():
+                                found.append((path, line.decode(errors="replace"), at))
+                        if found:
+                            yield pd.DataFrame(found, columns=["path", "value", "until"])
+
+    return rows.mapInPandas(read, "path string, value string, until long")
+
+
 def read_text(spark: SparkSession, path: str, suffix: str = "*") -> DataFrame:
     """(path, text) of whole files: UTF-8, or Latin-1 where they are not (which always reads)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").load(path)

@@ -1,59 +1,118 @@
 """Incremental stages: each reads its predecessor's new files and adds new files to its own table.
 
 The file source never reads a file twice, so a stage's position is its checkpoint, and its input must come as whole new
-files (never by appending to one). A batch may run again after a crash; the sink inserts only keys it does not hold,
-so every key is there once.
+files (never by appending to one). Keys that came before are held in the query's state store, so no batch looks at the table
+again; a batch's files carry its number, so a batch that runs again after a crash replaces what it wrote. Every key is
+there once.
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from ..functions.text import shard_of
+from ..sources.store import filesystem
 from ..sources.tables import read_or_none
 
+Work = Callable[[DataFrame], DataFrame]
 
-def insert_if_absent(batch: DataFrame, table: str, key: list[str], partition_by: list[str] | None = None) -> None:
-    """Append the batch's rows whose key the table does not hold, one row a key, as new files."""
-    spark = batch.sparkSession
-    held = read_or_none(spark, table)
+
+class TargetReached(Exception):
+    """A stage's table holds what it should; the batch at hand was not taken and stays for a larger target."""
+
+
+class Stage:
+    """A running stage: its streaming query, which may end because its target is reached."""
+
+    def __init__(self, query) -> None:
+        self.query = query
+
+    def __getattr__(self, name: str):
+        return getattr(self.query, name)
+
+    def awaitTermination(self, timeout: float | None = None) -> bool | None:  # noqa: N802  as the query names it
+        try:
+            return self.query.awaitTermination(timeout) if timeout else self.query.awaitTermination()
+        except StreamingQueryException as error:
+            if TargetReached.__name__ not in str(error):
+                raise
+            return True
+
+
+def insert_if_absent(batch: DataFrame, table: str, key: list[str]) -> None:
+    """Append the rows whose key the table does not hold, one row a key, as new files."""
+    held = read_or_none(batch.sparkSession, table)
     new = batch.dropDuplicates(key)
     if held is not None:
         new = new.join(held.select(*key).distinct(), key, "left_anti")
-    writer = new.write.mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(table)
+    new.write.mode("append").parquet(table)
+
+
+def commit_batch(batch: DataFrame, table: str, tag: str, partition_by: list[str] | None = None) -> int:
+    """Add a batch's rows as files named by ``tag``, in place of such files of an earlier attempt; returns the rows.
+
+    The files are written aside and moved in one by one, so a reader never sees part of a file.
+    """
+    spark = batch.sparkSession
+    staged = f"{table}/_staged/{tag}"
+    writer = batch.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
+    fs, root = filesystem(spark, table)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    depth = "*/" * len(partition_by or [])
+    for old in fs.globStatus(at(f"{table}/{depth}{tag}-*")) or []:
+        fs.delete(old.getPath(), False)
+    base = len(fs.makeQualified(at(staged)).toString()) + 1
+    files = fs.listFiles(at(staged), True)
+    while files.hasNext():
+        path = files.next().getPath()
+        if path.getName().startswith("part-"):
+            folder = path.getParent().toString()[base:]
+            target = at(f"{table}/{folder}" if folder else table)
+            fs.mkdirs(target)
+            fs.rename(path, at(target, f"{tag}-{path.getName()}"))
+    rows = spark.read.parquet(f"{table}/{depth}{tag}-*").count() if fs.globStatus(at(f"{table}/{depth}{tag}-*")) else 0
+    fs.delete(at(staged), True)
+    return rows
+
+
+def _tag(checkpoint: str, batch: int) -> str:
+    return f"b{hashlib.sha1(checkpoint.encode()).hexdigest()[:8]}-{batch:09d}"
 
 
 def run_stage(
     spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str, key: list[str],
-    work: Callable[[DataFrame], DataFrame] = lambda rows: rows, files_a_batch: int = 0, target: int = 0, continuous: str = "",
-):
-    """Start a stage and return its query; drained at once unless ``continuous`` gives an interval.
+    work: Work = lambda rows: rows, files_a_batch: int = 0, target: int = 0, continuous: str = "", partition_by: list[str] | None = None,
+) -> Stage:
+    """Start a stage; drained at once unless ``continuous`` gives an interval. ``key`` are columns of the source.
 
-    With a ``target`` the stage stops taking rows once its table holds so many.
+    With a ``target`` the stage ends once its table holds so many rows. Batches are taken whole, so the last one may
+    pass the target, and rows that were not taken are there for a run with a larger one.
     """
     reader = spark.readStream.schema(schema)
-    rows = (reader.option("maxFilesPerTrigger", files_a_batch) if files_a_batch else reader).parquet(source)
+    rows = (reader.option("maxFilesPerTrigger", files_a_batch) if files_a_batch else reader).parquet(source).dropDuplicates(key)
+    held = {"rows": 0}
+    if target and (before := read_or_none(spark, table)) is not None:
+        held["rows"] = before.count()
 
-    def write(batch: DataFrame, _: int) -> None:
-        if target:
-            held = read_or_none(batch.sparkSession, table)
-            room = target - (0 if held is None else held.count())
-            if room <= 0:
-                return
-            batch = batch.limit(room)
-        insert_if_absent(work(batch), table, key)
+    def write(batch: DataFrame, number: int) -> None:
+        if target and held["rows"] >= target:
+            raise TargetReached(f"{table} holds {held['rows']} rows")
+        held["rows"] += commit_batch(work(batch), table, _tag(checkpoint, number), partition_by)
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)).start()
+    return Stage((writer.trigger(processingTime=continuous) if continuous else writer.trigger(availableNow=True)).start())
 
 
-def run_chain(spark: SparkSession, source: str, schema: T.StructType, folder: str, stages: list[tuple[str, list[str], Callable[[DataFrame], DataFrame]]]) -> DataFrame:
+def run_chain(spark: SparkSession, source: str, schema: T.StructType, folder: str, stages: list[tuple[str, list[str], Work]]) -> DataFrame:
     """Drain a chain of stages, each over the table of the one before; returns the last table."""
     for name, key, work in stages:
         table = f"{folder}/{name}"
@@ -62,13 +121,44 @@ def run_chain(spark: SparkSession, source: str, schema: T.StructType, folder: st
     return spark.read.parquet(source)
 
 
-def dispatch(spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str, key: str, shards: int):
-    """Deal new rows to ``shard=k`` folders by a hash of their id, skipping ids that any shard holds."""
-
-    def write(batch: DataFrame, _: int) -> None:
-        insert_if_absent(batch.withColumn("shard", shard_of(F.col(key), shards)), table, [key], ["shard"])
+def run_together(
+    spark: SparkSession, source: str, schema: T.StructType, folder: str, stages: list[tuple[str, str | None, list[str], Work]], done: str, every: str = "1 second", quiet: int = 2, timeout: float = 3600.0
+) -> dict[str, DataFrame]:
+    """Run stages at the same time, each over the source (None) or an earlier stage's table, until all is done.
 
-    return spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    ``stages`` are (name, stage it reads, key, work); several may read one table. They end when the file ``done`` is there and
+    every query has been without new rows for ``quiet`` looks; what came in between is then drained in order. A
+    stage that fails ends all of them. Returns each stage's table.
+    """
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    known = {None: (source, schema)}
+    for name, reads, _, work in stages:
+        table = f"{folder}/{name}"
+        known[name] = table, work(spark.createDataFrame([], known[reads][1])).schema
+        filesystem(spark, table)[0].mkdirs(jvm.Path(table))
+    start = lambda name, reads, key, work, interval: run_stage(spark, *known[reads], known[name][0], f"{folder}/checkpoints/{name}", key, work, continuous=interval)
+    running = [start(*stage, every) for stage in stages]
+    fs, marker = filesystem(spark, done)
+    still, until = 0, time.monotonic() + timeout
+    try:
+        while still < quiet:
+            if time.monotonic() > until:
+                raise TimeoutError(f"the stages are not done after {timeout:g} seconds")
+            for query in running:
+                query.awaitTermination(0.2)  # raises where a query has failed
+            idle = all((p := q.lastProgress) and not p["numInputRows"] and not q.status["isDataAvailable"] for q in running)
+            still = still + 1 if idle and fs.exists(marker) else 0
+    finally:
+        for query in running:
+            query.stop()
+    for stage in stages:
+        start(*stage, "").awaitTermination()
+    return {name: spark.read.schema(known[name][1]).parquet(known[name][0]) for name, *_ in stages}
+
+
+def dispatch(spark: SparkSession, source: str, schema: T.StructType, table: str, checkpoint: str, key: str, shards: int) -> Stage:
+    """Deal new rows to ``shard=k`` folders by a hash of their id, each id once."""
+    return run_stage(spark, source, schema, table, checkpoint, [key], lambda rows: rows.withColumn("shard", shard_of(F.col(key), shards)), partition_by=["shard"])
 
 
 def compact(spark: SparkSession, table: str, key: list[str], files: int) -> None:

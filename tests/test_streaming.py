@@ -23,34 +23,67 @@ def test_a_chain_resumes(spark):
     assert sorted(r.id for r in rows) == [0, 2, 4, 6, 8]
 
 
-def test_a_crash_between_sink_and_commit_repeats_nothing(spark):
+def test_a_crash_between_sink_and_commit_repeats_nothing(spark, monkeypatch):
     folder = new_folder(spark, "crash")
     schema = spark.createDataFrame([], SCHEMA).schema
     lot(spark, f"{folder}/in", range(5))
+    commit = stages.commit_batch
 
-    def run(checkpoint, fail):
-        def work(rows):
-            return rows
+    def run():
+        stages.run_stage(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/cp", ["id"]).awaitTermination()
 
-        def broken(rows):
-            stages.insert_if_absent(rows, f"{folder}/out", ["id"])
-            raise RuntimeError("lost after the write")
-
-        stages.run_stage(spark, f"{folder}/in", schema, f"{folder}/out", checkpoint, ["id"], broken if fail else work).awaitTermination()
+    def lost(*args):
+        commit(*args)
+        raise RuntimeError("lost after the write")
 
+    monkeypatch.setattr(stages, "commit_batch", lost)
     with pytest.raises(Exception, match="lost after the write"):
-        run(f"{folder}/cp", True)
-    run(f"{folder}/cp", False)
+        run()
+    assert spark.read.parquet(f"{folder}/out").count() == 5
+    monkeypatch.setattr(stages, "commit_batch", commit)
+    run()
     assert sorted(r.id for r in spark.read.parquet(f"{folder}/out").collect()) == list(range(5))
 
 
-def test_target_stops_a_stage(spark):
+def test_a_target_ends_a_stage_and_loses_no_row(spark):
     folder = new_folder(spark, "target")
     schema = spark.createDataFrame([], SCHEMA).schema
     for k in range(4):
         lot(spark, f"{folder}/in", range(10 * k, 10 * k + 10))
-    stages.run_stage(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/cp", ["id"], files_a_batch=1, target=25).awaitTermination()
-    assert spark.read.parquet(f"{folder}/out").count() == 25
+    run = lambda target: stages.run_stage(spark, f"{folder}/in", schema, f"{folder}/out", f"{folder}/cp", ["id"], files_a_batch=1, target=target).awaitTermination()
+    held = lambda: spark.read.parquet(f"{folder}/out").count()
+    run(25)
+    assert held() == 30
+    run(30)
+    assert held() == 30
+    run(100)
+    assert held() == 40 and spark.read.parquet(f"{folder}/out").select("id").distinct().count() == 40
+
+
+def test_stages_run_together(spark):
+    folder = new_folder(spark, "together")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    lot(spark, f"{folder}/in", range(8))
+
+    def then_more(rows):  # a producer that goes on while the stages run
+        if not more and not rows.isEmpty():
+            more.append(1)
+            lot(spark, f"{folder}/in", range(6, 20))
+            spark.range(1).write.csv(f"{folder}/done")
+        return rows.withColumn("w", F.upper("v"))
+
+    more = []
+    made = [("first", None, ["id"], then_more), ("second", "first", ["id"], lambda r: r.where("id % 2 = 0")), ("captions", None, ["id"], lambda r: r.select("id"))]
+    tables = stages.run_together(spark, f"{folder}/in", schema, folder, made, f"{folder}/done", every="200 milliseconds", timeout=120)
+    assert {n: sorted(r.id for r in t.collect()) for n, t in tables.items()} == {"first": list(range(20)), "second": list(range(0, 20, 2)), "captions": list(range(20))}
+
+    def fails(rows):
+        if not rows.isEmpty():
+            raise RuntimeError("no endpoint")
+        return rows
+
+    with pytest.raises(Exception, match="no endpoint"):
+        stages.run_together(spark, f"{folder}/in", schema, f"{folder}/again", [("a", None, ["id"], fails)], f"{folder}/done", every="200 milliseconds", timeout=60)
 
 
 def test_dispatch_and_compaction(spark):
