@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import struct
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -14,9 +15,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Pixels above which an image is not decoded: its header is read, the pixels are not.
-MAX_PIXELS = 200_000_000
-
 
 def header(data: bytes) -> tuple[int, int, str] | None:
     """(width, height, format) from a file's first bytes; None for an unknown or broken header."""
@@ -123,7 +121,73 @@ def cache_name(path: str, size: int, modified_ns: int, max_pixels: int) -> str:
 
     digest = hashlib.sha1(f"{path}:{size}:{modified_ns}:{max_pixels}".encode()).hexdigest()[:16]
     stem = re.sub(r"[^A-Za-z0-9_.-]+", "_", posixpath.splitext(posixpath.basename(path))[0])[:80]
-    return f"{stem}_{digest}_{max_pixels}.jpg"
+    return f"{stem}_{digest}_{max_pixels}.png"
+
+
+def upright(pixels: np.ndarray, orientation: int) -> np.ndarray:
+    """Pixels as they are to be seen, by the EXIF orientation (1 to 8; any other: as they are)."""
+    if orientation in (5, 6, 7, 8):
+        pixels = pixels.swapaxes(0, 1)
+    if orientation in (2, 3, 6, 7):
+        pixels = pixels[:, ::-1]
+    if orientation in (3, 4, 7, 8):
+        pixels = pixels[::-1]
+    return np.ascontiguousarray(pixels)
+
+
+def orientation(data: bytes) -> int:
+    """The EXIF orientation of a JPEG file; 1 where it has none."""
+    at = 2
+    while data[:2] == b"\xff\xd8" and at + 4 <= len(data) and data[at] == 0xFF and data[at + 1] != 0xDA:
+        size = int.from_bytes(data[at + 2 : at + 4], "big")
+        part = data[at + 4 : at + 2 + size]
+        if data[at + 1] == 0xE1 and part[:6] == b"Exif\0\0":
+            return _oriented(part[6:])
+        at += 2 + size
+    return 1
+
+
+def _oriented(tiff: bytes) -> int:
+    order = "little" if tiff[:2] == b"II" else "big"
+    number = lambda at, size: int.from_bytes(tiff[at : at + size], order)
+    first = number(4, 4)
+    entries = (first + 2 + 12 * k for k in range(number(first, 2)))
+    found = next((number(at + 8, 2) for at in entries if number(at, 2) == 0x0112), 1)
+    return found if 1 <= found <= 8 else 1
+
+
+def encode_png(pixels: np.ndarray) -> bytes:
+    """An RGB or grey array as a PNG file; the same pixels give the same bytes."""
+    height, width = pixels.shape[:2]
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    lines = np.concatenate([np.zeros((height, 1), np.uint8), pixels.reshape(height, -1)], axis=1)
+    head = struct.pack(">IIBBBBB", width, height, 8, 2 if pixels.ndim == 3 else 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines.tobytes(), 6)) + chunk(b"IEND", b"")
+
+
+def decode_png(data: bytes) -> np.ndarray:
+    """The pixels of a PNG file of 8 bits a channel, not interlaced: what ``encode_png`` writes."""
+    width, height, bits, kind, _, _, interlaced = struct.unpack(">IIBBBBB", data[16:29])
+    channels = {0: 1, 2: 3, 4: 2, 6: 4}.get(kind, 0)
+    if bits != 8 or interlaced or not channels:
+        raise ValueError("this PNG file is of another kind")
+    at, packed = 8, b""
+    while at < len(data):
+        size = int.from_bytes(data[at : at + 4], "big")
+        packed += data[at + 8 : at + 8 + size] if data[at + 4 : at + 8] == b"IDAT" else b""
+        at += 12 + size
+    lines = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(height, 1 + width * channels)
+    if lines[:, 0].any():
+        raise ValueError("this PNG file has filtered lines")
+    pixels = lines[:, 1:].reshape(height, width, channels)
+    return pixels[..., 0] if channels == 1 else pixels
+
+
+def resized_copy(pixels: np.ndarray, max_pixels: int) -> np.ndarray:
+    """RGB pixels shrunk to an area (0: as they are)."""
+    width, height = bounded_size(pixels.shape[1], pixels.shape[0], max_pixels)
+    rgb = flatten(pixels)
+    return rgb if (width, height) == (pixels.shape[1], pixels.shape[0]) else resize(rgb, width, height)
 
 
 def flatten(pixels: np.ndarray) -> np.ndarray:
@@ -178,7 +242,7 @@ def image_header(content: pd.Series) -> pd.DataFrame:
 @F.pandas_udf(T.StringType())
 def image_hash(height: pd.Series, width: pd.Series, channels: pd.Series, data: pd.Series) -> pd.Series:
     def one(h: int, w: int, n: int, d: bytes) -> str | None:
-        return None if d is None or h < 1 or w < 1 or h * w > MAX_PIXELS else average_hash(flatten(from_spark(h, w, n, d)))
+        return None if d is None or h < 1 or w < 1 else average_hash(flatten(from_spark(h, w, n, d)))
 
     return pd.Series([one(*row) for row in zip(height, width, channels, data, strict=True)], dtype=object)
 

@@ -147,6 +147,11 @@ def jaccard(left: Column, right: Column) -> Column:
     return F.when(union > 0, F.size(F.array_intersect(left, right)) / union).otherwise(0.0)
 
 
+def sha1_file(content: Column) -> Column:
+    """The digest of a file's bytes."""
+    return F.sha1(content)
+
+
 def hamming_hex(left: Column, right: Column) -> Column:
     """Bits that differ in two hex numbers of any length; the shorter one is filled up with zeros in front."""
     digits = F.greatest(F.length(left), F.length(right))

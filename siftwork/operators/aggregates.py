@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as C
+
 
 def counter(rows: DataFrame, value: Column, is_array: bool = False) -> DataFrame:
     """(value, n): rows by a value, or by each element of a list; missing is "None", an empty list counts nothing."""
@@ -34,22 +36,28 @@ def reason_histogram(rows: DataFrame, reasons: str) -> DataFrame:
     return rows.select(F.explode(reasons).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def directory_rollup(files: DataFrame, path: str) -> DataFrame:
-    """Papers and images a group and in all (group null): a rollup over image and directory paths.
-
-    Paths end in GROUP/arXiv_src_X/PAPER/FOLDER/file. A folder named after its paper holds extracted or merged
-    images; other extracted folders count as other.
-    """
+def _paths(files: DataFrame, path: str) -> DataFrame:
+    """(group, paper, kind, suffix, image) of files below arXiv_src_ folders; see ``directory_rollup``."""
     part = F.split(path, "/")
     paper, folder, name = F.element_at(part, -3), F.element_at(part, -2), F.element_at(part, -1)
-    image = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1)).isin(".png", ".jpg", ".jpeg", ".webp", ".bmp", ".tif", ".tiff")
+    suffix = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1))
     kind = (
         F.when(folder == F.concat(paper, F.lit("_extracted_figs")), "extracted")
         .when(folder == F.concat(paper, F.lit("_extracted_figs_merged")), "merged")
         .when(folder.rlike("_extracted_figs(_merged)?$"), "other")
     )
     source = F.element_at(part, -4)
-    rows = files.where((F.size(part) >= 5) & source.startswith("arXiv_src_")).select(F.element_at(part, -5).alias("group"), F.concat_ws("/", source, paper).alias("paper"), kind.alias("kind"), image.alias("image"))
+    inside = files.where((F.size(part) >= 5) & source.startswith("arXiv_src_"))
+    return inside.select(F.element_at(part, -5).alias("group"), F.concat_ws("/", source, paper).alias("paper"), kind.alias("kind"), suffix.alias("suffix"), suffix.isin(*C.IMAGE_SUFFIXES).alias("image"))
+
+
+def directory_rollup(files: DataFrame, path: str) -> DataFrame:
+    """Papers and images a group and in all (group null): a rollup over image and directory paths.
+
+    Paths end in GROUP/arXiv_src_X/PAPER/FOLDER/file. A folder named after its paper holds extracted or merged
+    images; other extracted folders count as other.
+    """
+    rows = _paths(files, path)
     of = lambda k: F.col("kind") == k
     return rows.rollup("group").agg(
         F.count_distinct("paper").alias("papers"),
@@ -61,6 +69,12 @@ def directory_rollup(files: DataFrame, path: str) -> DataFrame:
     )
 
 
+def suffix_counts(files: DataFrame, path: str) -> DataFrame:
+    """(group, suffix, n): images of each suffix a group and in all (group null), in folders of any of the kinds."""
+    images = _paths(files, path).where(F.col("kind").isNotNull() & F.col("image"))
+    return images.groupingSets([["group", "suffix"], ["suffix"]], "group", "suffix").agg(F.count("*").alias("n"))
+
+
 def consensus(values: Column, answer_type: Column, numbers: Column) -> Column:
     """Whether answers agree: all equal, or approximate numbers within 2 % or 0.05, or within 5 % of the largest.
 

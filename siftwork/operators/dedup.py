@@ -66,19 +66,38 @@ def last_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("row")).select(*key, "row.*").select(*rows.columns)
 
 
+#: Rows whose words are counted for the order of rarity, and words that are told apart.
+SAMPLED, COUNTED = 20_000, 1 << 16
+
+
+def _word_counts(sets: DataFrame) -> dict[str, int]:
+    """How many rows of a sample hold each word that several do."""
+    part = max(1, sets.count() // SAMPLED)
+    sample = sets.where(F.pmod(F.xxhash64("g", "rep"), F.lit(part)) == 0).select(F.explode("words").alias("word"))
+    counted = sample.groupBy("word").count().where("count > 1").orderBy(F.desc("count"), "word").limit(COUNTED).toArrow()
+    return dict(zip(counted["word"].to_pylist(), counted["count"].to_pylist(), strict=True))
+
+
+def _rare_first(counts: dict[str, int]):
+    @F.pandas_udf("array<string>")
+    def order(words: pd.Series) -> pd.Series:
+        return pd.Series([sorted(w, key=lambda x: (counts.get(x, 0), x)) for w in words])
+
+    return order
+
+
 def similar_pairs(rows: DataFrame, group: str, row_id: str, text: Column, threshold: float = C.SIMILAR) -> DataFrame:
     """Pairs of one group whose word sets overlap by the threshold: (group, left, right, overlap).
 
     Prefix filtering: with words in one order, two sets that overlap by t share a word among the first
-    n - ceil(t n) + 1 of each, so rows meet only under their long words and no group is crossed with itself.
+    n - ceil(t n) + 1 of each, so rows meet only under their rare words and no group is crossed with itself.
     Rows of one word set are compared once, through its smallest id; the others are paired with that id.
     """
     sets = rows.select(F.col(group).alias("g"), F.col(row_id).alias("id"), F.array_sort(T.question_tokens(text)).alias("words")).where(F.size("words") > 0)
     classes = sets.groupBy("g", "words").agg(F.min("id").alias("rep"))
     members = sets.join(classes, ["g", "words"]).where("id > rep").select("g", F.col("rep").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("overlap"))
-    # Any fixed order of words will do; long words first puts rare ones first without counting them.
-    by_length = F.array_sort(F.transform("words", lambda w: F.struct((-F.length(w)).alias("n"), w.alias("word"))))
-    ordered = classes.select("g", "rep", F.transform(by_length, lambda x: x["word"]).alias("words"))
+    # Any fixed order of words will do; rare words first lets few rows meet. Counts of a sample set it.
+    ordered = classes.select("g", "rep", _rare_first(_word_counts(classes))("words").alias("words"))
     size = F.size("words")
     head = F.slice("words", F.lit(1), (size - F.ceil(threshold * size) + 1).cast("int"))
     heads = ordered.select("g", "rep", size.alias("size"), F.posexplode(head).alias("place", "word")).withColumn("word", F.xxhash64("word"))

@@ -51,12 +51,13 @@ def references(rows: DataFrame, paragraphs: DataFrame, key: str) -> DataFrame:
     """(paper, figure_id, block_id): reference paragraphs and blocks of a paper of which one contains the other, without white space."""
     block = rows.select(F.col(key).alias("paper"), F.col("id").alias("block_id"), latex_bare("raw").alias("block_text"))
     ref = paragraphs.select(F.col(key).alias("paper"), "figure_id", latex_bare("paragraph").alias("ref_text")).where("ref_text <> ''")
-    # The paper is put into both texts' grams by comparing within papers only.
+    block, ref = block.withColumnRenamed("paper", "paper of block"), ref.withColumnRenamed("paper", "paper of ref")
     found = [
-        containing(block.withColumnRenamed("paper", "p"), ref, "block_text", "ref_text").where("p = paper"),
-        containing(ref.withColumnRenamed("paper", "p"), block, "ref_text", "block_text").where("p = paper"),
+        containing(block, ref, "block_text", "ref_text", ("paper of block", "paper of ref")),
+        containing(ref, block, "ref_text", "block_text", ("paper of ref", "paper of block")),
     ]
-    return found[0].select("paper", "figure_id", "block_id").union(found[1].select("paper", "figure_id", "block_id")).distinct()
+    shown = [f.select(F.col("paper of ref").alias("paper"), "figure_id", "block_id") for f in found]
+    return shown[0].union(shown[1]).distinct()
 
 
 def block_cost(kind: Column, text: Column, images: Column, rows: Column) -> Column:

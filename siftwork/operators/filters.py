@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -44,14 +46,17 @@ def prefer_merged(rows: DataFrame, key: list[str], kind: str, panels: str) -> Da
     """Keeps merged rows of 2 to 8 panels over the single rows of their key.
 
     Single rows go where such a merged row exists; merged rows go where their key has none; single
-    rows of a key that has several become ``single_panel``. One window over the key does all three.
+    rows of a key that has several become ``single_panel``. What a key has is one small aggregate, and rows meet it
+    by a join that AQE can split, so a key (a null one too) may hold any share of the rows.
     """
-    of_key = Window.partitionBy(*key)
     good = (F.col(kind) == "merged") & F.coalesce(F.col(panels), F.lit(0)).between(2, 8)
-    marked = rows.withColumns({"has merged": F.coalesce(F.max(good).over(of_key), F.lit(False)), "singles": F.count_if(F.col(kind) == "single").over(of_key)})
+    named = {k: f"key of {k}" for k in key}
+    of_key = rows.groupBy(*[F.col(k).alias(n) for k, n in named.items()]).agg(F.coalesce(F.max(good), F.lit(False)).alias("has merged"), F.count_if(F.col(kind) == "single").alias("singles"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in named.items()])
+    marked = rows.join(of_key, same)
     keep = F.when(F.col(kind) == "single", ~F.col("has merged")).when(F.col(kind) == "merged", F.col("has merged")).otherwise(True)
     renamed = F.when((F.col(kind) == "single") & (F.col("singles") > 1), "single_panel").otherwise(F.col(kind))
-    return marked.where(keep).withColumn(kind, renamed).drop("has merged", "singles")
+    return marked.where(keep).withColumn(kind, renamed).select(*rows.columns)
 
 
 def accept(real: Column, confidence: Column, vqa: Column, caption: Column, rejects: list[Column]) -> Column:
@@ -68,6 +73,12 @@ def weak_accept(real: Column, confidence: Column) -> Column:
     return real & (sure >= C.WEAK_ACCEPT) & (sure < C.ACCEPT)
 
 
+def accepted(rows: DataFrame, include_weak: bool = False) -> DataFrame:
+    """Rows with ``accepted`` set, or also those with ``weak_accept``."""
+    rule = F.coalesce("accepted", F.lit(False))
+    return rows.where(rule | F.coalesce("weak_accept", F.lit(False)) if include_weak else rule)
+
+
 def clean_types(types: Column, primary: Column, real: Column) -> Column:
     """struct(chart_types, primary): the closed enumeration only; ``other_chart`` for a real chart without any."""
     known = F.array(*[F.lit(t) for t in C.CHART_TYPES])

@@ -16,8 +16,8 @@ from .. import constants as C
 
 
 def seeded_order(seed: int, *keys: Column | str) -> Column:
-    """A shuffle's sort key: a hash of the seed and the row's id, the same on every run."""
-    return F.xxhash64(F.lit(seed), *keys)
+    """A shuffle's sort key: a digest of the seed and the row's id, the same on every run and in any engine."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), *[(F.col(k) if isinstance(k, str) else k).cast("string") for k in keys]))
 
 
 def nested_caps(rows: DataFrame, caps: list[tuple[list[str], Column | int]], order: list[Column], used: dict[int, str] | None = None) -> DataFrame:

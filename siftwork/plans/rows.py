@@ -209,21 +209,12 @@ def parse_numbers(spark, d):
     return rows.select("doc_id", F.size("v").alias("n"), at(0).alias("first_number"), at(1).alias("second_number"), at(3).alias("fourth_number"))
 
 
-_ASCII = r"regexp_full_match(text, '[\x00-\x7F]*')"
-
-
 @query(f"""
-SELECT doc_id, trim(regexp_replace(translate(regexp_replace(regexp_replace(lower(trim(text)), '<[^>]+>', ' ', 'g'), '\\b(the|a|an)\\b', ' ', 'g'),
-  {quoted(C.ASCII_MARKS)}, ''), '\\s+', ' ', 'g')) AS answer FROM documents WHERE {_ASCII}
+SELECT doc_id, trim(regexp_replace(translate(regexp_replace(regexp_replace(lower(trim(nfc_normalize(text))), '<[^>]+>', ' ', 'g'), '\\b(the|a|an)\\b', ' ', 'g'),
+  {quoted(C.ASCII_MARKS + C.CJK_MARKS)}, ''), '\\s+', ' ', 'g')) AS answer FROM documents
 """)
 def normalize_answers(spark, d):
-    rows = spread(read(spark, d, "documents")).where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    return rows.select("doc_id", A.normalize_answer(F.col("text"), F.lit("short_phrase")).alias("answer"))
-
-
-@query()
-def normalize_answers_all(spark, d):
-    """As normalize_answers, over every document: SQL has no NFKC, so that one keeps to ASCII."""
+    """Every document's text as an answer. The SQL has canonical composition only; the tables hold no compatibility characters."""
     rows = spread(read(spark, d, "documents"))
     return rows.select("doc_id", A.normalize_answer(F.col("text"), F.lit("short_phrase")).alias("answer"))
 
@@ -324,15 +315,12 @@ def html_escape(spark, d):
     return read(spark, d, "pages").select("page_id", T.html_escape(F.col("html")).alias("escaped"))
 
 
-@query("SELECT doc_id, bit_count(xor(('0x' || left(md5(text), 15))::BIGINT, ('0x' || left(sha1(text), 15))::BIGINT))::INTEGER AS bits FROM documents")
-def hash_distance(spark, d):
-    raw = F.col("text").cast("binary")
-    return read(spark, d, "documents").select("doc_id", T.hamming_hex(F.left(F.md5(raw), F.lit(15)), F.left(F.sha1(raw), F.lit(15))).alias("bits"))
+_DIGITS = " + ".join(f"bit_count(xor(('0x' || substr(lpad(md5(text), 40, '0'), {k}, {n}))::BIGINT, ('0x' || substr(sha1(text), {k}, {n}))::BIGINT))" for k, n in ((1, 15), (16, 15), (31, 10)))
 
 
-@query()
-def hash_distance_whole(spark, d):
-    """As hash_distance, over all digits of both digests."""
+@query(f"SELECT doc_id, ({_DIGITS})::INTEGER AS bits FROM documents")
+def hash_distance(spark, d):
+    """All digits of both digests, the shorter one filled with zeros."""
     raw = F.col("text").cast("binary")
     return read(spark, d, "documents").select("doc_id", T.hamming_hex(F.md5(raw), F.sha1(raw)).alias("bits"))
 

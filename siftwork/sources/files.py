@@ -100,6 +100,48 @@ def image_folder(spark: SparkSession, root: str, expected: int = 0) -> DataFrame
     return rows.orderBy("image_path")
 
 
+def resized_images(images: DataFrame, folder: str, max_pixels: int) -> DataFrame:
+    """(path, copy, made): each image's copy shrunk to an area, as a PNG file in ``folder``; 0 is the image itself.
+
+    ``images`` has path, length and modified, as ``listing`` gives them. A copy's name holds a digest of these, so a
+    changed image gets another one; a copy that is there is not made again. Images are decoded by Spark's image source.
+    """
+    from collections.abc import Iterator
+    from uuid import uuid4
+
+    import pandas as pd
+    from pyarrow import fs
+
+    from ..functions import images as I
+
+    if max_pixels <= 0:
+        return images.select("path", F.col("path").alias("copy"), F.lit(False).alias("made"))
+    spark = images.sparkSession
+    named = [f for f in images.columns if f in ("path", "length", "modified")]
+    paths = images.select(*named, F.regexp_replace("path", "^file:/+", "/").alias("plain"))
+    roots = [r[0] for r in images.select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1)).distinct().collect()]
+    pixels = spark.read.format("image").load(roots).select("image.*").withColumn("of", F.regexp_replace("origin", "^file:/+", "/"))
+    rows = paths.join(pixels, F.col("plain") == F.col("of")).select("path", "length", F.unix_micros("modified").alias("modified"), "height", "width", "nChannels", "data")
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        system, base = fs.FileSystem.from_uri(folder)
+        system.create_dir(base, recursive=True)
+        for batch in batches:
+            done = []
+            for r in batch.itertuples(index=False):
+                name = I.cache_name(r.path, r.length, 1000 * r.modified, max_pixels)
+                missing = system.get_file_info(f"{base}/{name}").type == fs.FileType.NotFound
+                if missing:  # written aside and moved, so that no other task sees part of it
+                    temporary = f"{base}/.{name}.{uuid4().hex}"
+                    with system.open_output_stream(temporary) as out:
+                        out.write(I.encode_png(I.resized_copy(I.from_spark(r.height, r.width, r.nChannels, r.data), max_pixels)))
+                    system.move(temporary, f"{base}/{name}")
+                done.append((r.path, f"{folder}/{name}", missing))
+            yield pd.DataFrame(done, columns=["path", "copy", "made"])
+
+    return rows.mapInPandas(make, "path string, copy string, made boolean")
+
+
 def eval_records(metadata: DataFrame, chart_types: DataFrame) -> DataFrame:
     """Evaluation figures with their chart types.
 

@@ -5,10 +5,10 @@ import math
 import duckdb
 import pytest
 
-from siftwork.plans import relations, rows, stages
+from siftwork.plans import curation, files, relations, rows, stages
 
-QUERIES = rows.QUERIES | relations.QUERIES | stages.QUERIES
-SQL = rows.SQL | relations.SQL | stages.SQL
+QUERIES = rows.QUERIES | relations.QUERIES | stages.QUERIES | files.QUERIES | curation.QUERIES
+SQL = rows.SQL | relations.SQL | stages.SQL | files.SQL | curation.SQL
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
