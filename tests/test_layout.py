@@ -104,3 +104,20 @@ def test_resize_and_bounds():
     assert I.bounded_size(100, 100, 2500) == (50, 50) and I.bounded_size(3, 3, 0) == (3, 3)
     assert I.flatten(np.array([[[0, 0, 0, 0]]], np.uint8)).tolist() == [[[255, 255, 255]]]
     assert I.cache_name("/a/b c.png", 1, 2, 3).startswith("b_c_")
+
+
+def test_files_and_orientation():
+    rng = np.random.default_rng(1)
+    for shape in ((5, 7, 3), (4, 9), (1, 1, 3)):
+        pixels = rng.integers(0, 256, shape, dtype=np.uint8)
+        data = I.encode_png(pixels)
+        assert (I.decode_png(data) == pixels).all() and I.header(data)[:2] == (shape[1], shape[0])
+    with pytest.raises(ValueError):
+        I.decode_png(png(3, 3)[:24] + b"\x10" + png(3, 3)[25:])
+    grid = np.array([[1, 2, 3], [4, 5, 6]], np.uint8)
+    seen = {1: [[1, 2, 3], [4, 5, 6]], 2: [[3, 2, 1], [6, 5, 4]], 3: [[6, 5, 4], [3, 2, 1]], 4: [[4, 5, 6], [1, 2, 3]], 5: [[1, 4], [2, 5], [3, 6]], 6: [[4, 1], [5, 2], [6, 3]], 7: [[6, 3], [5, 2], [4, 1]], 8: [[3, 6], [2, 5], [1, 4]]}
+    assert all(I.upright(grid, k).tolist() == v for k, v in seen.items())
+    exif = b"Exif\0\0MM\0*\0\0\0\x08\0\x01\x01\x12\0\x03\0\0\0\x01\0\x06\0\0"
+    jpeg = b"\xff\xd8\xff\xe1" + (len(exif) + 2).to_bytes(2, "big") + exif + b"\xff\xda"
+    assert I.orientation(jpeg) == 6 and I.orientation(b"\xff\xd8\xff\xda") == 1 == I.orientation(b"")
+    assert I.resized_copy(np.zeros((20, 20), np.uint8), 100).shape == (10, 10, 3)

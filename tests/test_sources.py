@@ -129,3 +129,28 @@ def test_reports(spark):
     assert "&lt;b&gt;" in page and "{&quot;k&quot;: 1}" in page
     moved, missing = sinks.rewrite_images('<img src="file:///a%20b.png"><img src="file:///c.png">', {"/a b.png": "assets/1.png"})
     assert 'src="assets/1.png"' in moved and missing == ["/c.png"]
+
+
+def test_a_lost_swap_is_put_back(spark):
+    path = f"{new_folder(spark, 'swap')}/table"
+    sinks.replace_table(spark.range(3), path)
+    fs, target = sinks.filesystem(spark, path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.rename(target, at(f"{path}.old"))  # the driver was lost between the two renames
+    assert sinks.recover_table(spark, path) and spark.read.parquet(path).count() == 3
+    assert not sinks.recover_table(spark, path)
+    sinks.replace_table(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 5 and not fs.exists(at(f"{path}.old"))
+
+
+def test_pages_and_their_export(spark, tmp_path):
+    picture = write(tmp_path / "p/a b.png", b"\x89PNG")
+    rows = [{"id": "<x>", "long": ["é"] * 900, "image": picture.replace(" ", "%20"), "path": "/v/1", "messages": [{"role": "user", "content": "<image>"}, {"role": "assistant", "content": "a & b"}]}, {"id": "y", "image": "file:///gone.png"}]
+    page = sinks.review_page(rows, ["id", "long"], "image", links={"path": "open"})
+    assert "&lt;x&gt;" in page and page.count("é") == 900 and '<a href="/v/1">open</a>' in page and "2 rows" in page
+    assert sinks.review_page(rows, ["long"], most=50).count("é") < 50
+    assert "a &amp; b" in sinks.chat_page(rows, "messages", "image") and "<td>y</td>" in sinks.table_page(rows, ["id"])
+    missing = sinks.export_page(spark, page, f"file://{tmp_path}/out")
+    written = (tmp_path / "out/index.html").read_text()
+    assert missing == ["/gone.png"] and written.count('src="assets/') == 1
+    assert [f.read_bytes() for f in (tmp_path / "out/assets").glob("*.png")] == [b"\x89PNG"]
