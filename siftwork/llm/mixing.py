@@ -34,7 +34,7 @@ def word_count(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3) -> DataFrame:
-    """One row a source: source, source_size, target (words).
+    """One row a source: source, source_size, target (words), and the budget of all.
 
     ``sizes`` has (source, size). Sources in code-point order, null last, get the weights in turn
     and share the total; a target stops at ``max_epochs`` times its source's size and the excess
@@ -57,7 +57,7 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
     free = F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct(F.col("cap") / F.col("weight"), F.col("source").isNull(), F.col("source"), F.col("level")))
     level = F.min(free).over(every)["level"]
     target = F.least(F.col("cap"), F.coalesce(level * F.col("weight"), F.col("cap")))
-    return per.select("source", "source_size", target.alias("target"))
+    return per.select("source", "source_size", target.alias("target"), F.col("budget").cast("long").alias("budget"))
 
 
 def sized(rows: DataFrame, text: str = "text", seed: int = 17) -> DataFrame:
@@ -95,18 +95,19 @@ def schedule(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
     finish = F.least(F.lit(1.0), F.try_divide((start + F.col("size")).cast("double"), F.col("target")))
     copies = copies.withColumns({"offered": offered, "virtual_finish": F.coalesce(finish, F.lit(1.0))}).where((F.col("offered") > 0) | (F.col("epoch") == 0))
     # Virtual time passes evenly in words, so slots of it are even shares of the mix; they are the ranges of the sort.
-    copies = copies.withColumn("slot", F.floor(F.col("virtual_finish") * SLOTS).cast("int"))
+    # Copies of which nothing is offered count for nothing, so they may lie in any slot.
+    slot = F.when(F.col("offered") > 0, F.floor(F.col("virtual_finish") * SLOTS)).otherwise(F.pmod(F.xxhash64("place", "rid"), F.lit(SLOTS)))
+    copies = copies.withColumn("slot", slot.cast("int"))
     order = ["virtual_finish", F.col("source").isNull(), "source", "place", "epoch", "size"]
     ranged = copies.repartitionByRange(partitions(rows.sparkSession), "slot").sortWithinPartitions("slot", *order)
     # One row a slot.
     slots = copies.groupBy("slot").agg(F.sum("offered").alias("slot_words"))
     before = F.sum("slot_words").over(Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("slot_words")
     slots = slots.select(F.col("slot").alias("k"), before.alias("slot_before"))
-    budget = rows.agg(F.sum("size").alias("budget"))
     line = Window.partitionBy("slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     summed = ranged.withColumn("served", F.sum("offered").over(line) - F.col("offered"))
-    # At most SLOTS + 1 rows, and one row.
-    summed = summed.join(F.broadcast(slots), F.col("slot") == F.col("k")).join(F.broadcast(budget))
+    # At most SLOTS + 1 rows.
+    summed = summed.join(F.broadcast(slots), F.col("slot") == F.col("k"))
     words = F.greatest(F.lit(0).cast("long"), F.least(F.col("offered"), F.col("budget") - F.col("slot_before") - F.col("served")))
     return summed.select("rid", "doc_id", "source", "size", "source_size", "target", "epoch", "virtual_finish", words.alias("words"))
 

@@ -233,7 +233,7 @@ COORDINATES = 4
 #: Rows whose shingles are counted for the order of rarity, least count and number of those that are told apart.
 SAMPLE, FEW, COMMON = 20_000, 2, 1 << 17
 #: Nodes of a block of a group, and owners up to which an element's pairs are counted one by one.
-BLOCK, FEW_OWNERS = 1024, 12
+BLOCK, FEW_OWNERS = 256, 12
 #: Words whose hashes a task holds.
 KNOWN = 1 << 18
 #: Orders by which a key's leader is chosen, so that a group's members meet several leaders.
