@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -96,7 +98,36 @@ def pilot_selection(spark, d):
     return sampling.pilot_selection(rows, _PILOT, "candidate_id").select("candidate_id", "phase")
 
 
-@query()
+def _rounds(pool: str, rounds: list[tuple[str, str, list[tuple[str, str]], str]]) -> str:
+    """SQL of a sample taken in rounds: (condition, order, caps as (key, most), rows in all after the round)."""
+    parts = [f"pool AS ({pool})", "t0 AS (SELECT *, 0 AS phase, 0 AS sample_index FROM pool WHERE false)"]
+    for k, (where, order, caps, until) in enumerate(rounds, 1):
+        rows = f"SELECT * FROM pool WHERE ({where}) AND id NOT IN (SELECT id FROM t{k - 1})"
+        for key, most in caps:
+            used = f"SELECT {key} AS used_key, count(*) AS used FROM t{k - 1} GROUP BY 1"
+            rows = f"SELECT * EXCLUDE (used_key, used, r) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) + coalesce(used, 0) AS r FROM ({rows}) LEFT JOIN ({used}) ON {key} = used_key) WHERE r <= {most}"
+        chosen = f"SELECT *, {k} AS phase, row_number() OVER (ORDER BY {order}) - 1 + (SELECT count(*) FROM t{k - 1}) AS sample_index FROM ({rows})"
+        parts.append(f"t{k} AS MATERIALIZED (SELECT * FROM t{k - 1} UNION ALL SELECT * FROM ({chosen}) WHERE sample_index < {until.replace('TAKEN', f't{k - 1}')})")
+    return f"WITH {', '.join(parts)} SELECT * FROM t{len(rounds)}"
+
+
+_SAMPLE = 120
+_QUOTAS = sampling.year_quotas(_SAMPLE)
+_POOL = """SELECT doc_id AS id, concat_ws('-', source, lang, doc_id % 7) AS paper, printf('20%02d-%02d', doc_id % 6, doc_id % 7) AS month, (2020 + doc_id % 6)::INTEGER AS year, lang AS bucket,
+  (n_chars % 100) / 100.0 AS sure, coalesce(quality, 1) = 0 AS is_eval FROM documents LEFT JOIN labels USING (doc_id)"""
+_MONTH_CAP = "CASE year " + " ".join(f"WHEN {y} THEN {math.ceil(q / 12 * 1.3)}" for y, q in _QUOTAS.items()) + " END"
+_CAPS = [("paper", "2"), ("month", _MONTH_CAP)]
+
+
+def _by_year() -> list[tuple[str, str, list[tuple[str, str]], str]]:
+    first = [("is_eval", "-sure, id", _CAPS, str(_SAMPLE))]
+    for k, (year, quota) in enumerate(_QUOTAS.items(), 1):
+        held = f"coalesce(map_extract((SELECT map_from_entries(list((bucket, n))) FROM (SELECT bucket, count(*) AS n FROM t{k} GROUP BY bucket)), bucket)[1], 0)"
+        first.append((f"year = {year}", f"{held}, -sure, id", _CAPS, f"least({_SAMPLE}, (SELECT count(*) + greatest(0, {quota} - count(*) FILTER (year = {year})) FROM TAKEN))"))
+    return [*first, ("true", "-sure, id", _CAPS, str(_SAMPLE)), ("true", "-sure, id", _CAPS[:1], str(_SAMPLE))]
+
+
+@query(f"SELECT id AS candidate_id, phase, sample_index FROM ({_rounds(_POOL, _by_year())})")
 def group_sampling(spark, d):
     labels = read(spark, d, "labels").select(F.col("doc_id").alias("of"), "quality")
     pool = read(spark, d, "documents").join(labels, F.col("doc_id") == F.col("of"), "left").select(
@@ -105,7 +136,7 @@ def group_sampling(spark, d):
         (2020 + F.col("doc_id") % 6).cast("int").alias("year"), F.col("lang").alias("bucket"), ((F.col("n_chars") % 100) / 100).alias("confidence"),
         (F.coalesce("quality", F.lit(1)) == 0).alias("is_eval"),
     )
-    return sampling.group_sample(pool, 120).select("candidate_id", "phase", "sample_index")
+    return sampling.group_sample(pool, _SAMPLE).select("candidate_id", "phase", "sample_index")
 
 
 @query()
@@ -116,6 +147,27 @@ def task_quota_sampling(spark, d):
     return sampling.task_sample(rows, 200, {"user": 3, "assistant": 2, "system": 1}, text="question").select("id", "task_type", "phase", "sample_index")
 
 
+_WEIGHTS = {"user": 3, "assistant": 2, "system": 1}
+_TURN_POOL = "SELECT concat_ws('-', conv_id, turn) AS id, role AS task, conv_id AS image, (length(text) % 6)::INTEGER AS hard FROM conversations"
+_TURN_ORDER = "-hard, md5('20260611:' || id), id"
+
+
+@query(f"""
+SELECT id, task AS task_type, phase, sample_index FROM ({_rounds(_TURN_POOL, [
+    *[(f"task = '{t}'", _TURN_ORDER, [("image", "3")], f"(SELECT count(*) + {q} FROM TAKEN)") for t, q in sampling.apportion(40, _WEIGHTS).items()],
+    ("true", _TURN_ORDER, [("image", "3")], "40")])})
+""")
+def task_quotas(spark, d):
+    """Quotas a task and a cap an image, hard questions first, without the test of similarity."""
+    rows = read(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("id"), F.col("role").alias("task_type"), F.col("conv_id").alias("image_id"), (F.length("text") % 6).alias("difficulty_score"))
+    return sampling.task_sample(rows, 40, _WEIGHTS).select("id", "task_type", "phase", "sample_index")
+
+
+@query("SELECT doc_id, (row_number() OVER (ORDER BY md5('7:' || doc_id), doc_id) - 1)::BIGINT AS shuffled FROM documents")
+def seeded_shuffle(spark, d):
+    return sampling.number_rows(read(spark, d, "documents").select("doc_id"), [sampling.seeded_order(7, "doc_id"), F.col("doc_id")], "shuffled")
+
+
 @query(f"""
 SELECT doc_id, ({listed([t for t, n in C.CYCLE for _ in range(n)])})[(row_number() OVER (ORDER BY doc_id) - 1) % {sum(n for _, n in C.CYCLE)} + 1] AS task_type FROM documents
 """)

@@ -209,9 +209,12 @@ def parse_numbers(spark, d):
     return rows.select("doc_id", F.size("v").alias("n"), at(0).alias("first_number"), at(1).alias("second_number"), at(3).alias("fourth_number"))
 
 
+_WORDS_MARKED = "regexp_replace(regexp_replace(lower(trim(nfc_normalize(text))), '<[^>]+>', ' ', 'g'), '([\\p{L}\\p{N}_]+)', chr(1) || '\\1' || chr(2), 'g')"
+_NO_ARTICLES = f"replace(replace(replace({_WORDS_MARKED}, chr(1) || 'the' || chr(2), ' '), chr(1) || 'an' || chr(2), ' '), chr(1) || 'a' || chr(2), ' ')"
+
+
 @query(f"""
-SELECT doc_id, trim(regexp_replace(translate(regexp_replace(regexp_replace(lower(trim(nfc_normalize(text))), '<[^>]+>', ' ', 'g'), '\\b(the|a|an)\\b', ' ', 'g'),
-  {quoted(C.ASCII_MARKS + C.CJK_MARKS)}, ''), '\\s+', ' ', 'g')) AS answer FROM documents
+SELECT doc_id, trim(regexp_replace(translate({_NO_ARTICLES}, chr(1) || chr(2) || {quoted(C.ASCII_MARKS + C.CJK_MARKS)}, ''), '\\s+', ' ', 'g')) AS answer FROM documents
 """)
 def normalize_answers(spark, d):
     """Every document's text as an answer. The SQL has canonical composition only; the tables hold no compatibility characters."""

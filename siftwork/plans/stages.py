@@ -83,7 +83,13 @@ def paginate_blocks(spark, d):
     return documents.paginate(rows.select("doc_id", "place", cost.alias("cost")), "doc_id", "place", "cost")
 
 
-@query()
+@query("""
+WITH l AS (SELECT doc_id, unnest(range(len(x))) AS k, unnest(x) AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents)),
+p AS (SELECT doc_id, k, trim(regexp_replace(regexp_replace(t, '%.*$', ''), '\\s+', ' ', 'g')) AS text FROM l),
+b AS (SELECT doc_id, k + 2 AS o, 'paragraph' AS type, text FROM p WHERE length(text) >= 2 UNION ALL SELECT doc_id, 0, 'title', 'On ' || lang FROM documents
+  UNION ALL SELECT doc_id, 1, 'heading', 'First' FROM documents UNION ALL SELECT doc_id, 1000000000, 'figure', 'A plot' FROM documents)
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY o) - 1)::INTEGER AS place, type, text FROM b
+""")
 def latex_blocks(spark, d):
     doc = F.concat(F.lit("\\title{On \\emph{"), "lang", F.lit("}}\n\\begin{document}\n\\section{First}\n"), F.replace("text", F.lit("\n"), F.lit("\n\n")), F.lit("\n\\begin{figure}\\caption{A \\textbf{plot}}\\end{figure}\n\\end{document}\n"))
     rows = spread(read(spark, d, "documents")).select("doc_id", doc.alias("tex"))
