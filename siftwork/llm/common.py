@@ -42,9 +42,21 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+#: The folder of each application, which goes when its JVM ends.
+_RUNS: dict[str, str] = {}
+
+
 def fresh_dir(spark: SparkSession, what: str) -> str:
-    """A new folder's URI below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    """A new folder's URI below the shared folder, in one that is deleted when the session's JVM ends."""
+    context = spark.sparkContext
+    if context.applicationId not in _RUNS:
+        run = f"{shared_dir(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+        path = context._jvm.org.apache.hadoop.fs.Path(run)
+        system = path.getFileSystem(context._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _RUNS[context.applicationId] = run
+    return f"{_RUNS[context.applicationId]}/{what}-{uuid.uuid4().hex}"
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

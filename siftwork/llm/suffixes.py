@@ -28,8 +28,9 @@ is bounded by a partition's share of anchors or contexts and one batch of text;
 length are worked through in pieces.
 
 Defined results: a null text is empty; a null doc_id is smaller than any other; rows that repeat
-both doc_id and text are one document listed again, so each is cut alike; rows of one doc_id and
-different texts are ordered by a hash of the text; an empty table gives no rows. Columns other
+both doc_id and text are one document listed again: each keeps what the one would keep; rows of one doc_id and
+different texts are ordered by a hash of the text (documents are told apart by 64 bits of doc_id and text: two
+that agree in them, one pair in 2 ** 64, would be cut alike); an empty table gives no rows. Columns other
 than doc_id, text and those named to be carried are not read.
 """
 

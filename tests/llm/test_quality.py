@@ -1,4 +1,6 @@
+import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -35,6 +37,33 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in scored.values())
 
 
+def test_scores_are_plain_table_sums(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = quality.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    got = {r.doc_id: r for r in quality.op2_quality(spark, sf).collect()}
+    assert len(got) == docs.count()
+    for r in docs.collect():
+        x = quality.features(r.text)
+        bins = [sum(1 for edge in model.edges[j] if edge <= x[j]) for j in range(len(x))]
+        total = model.intercept + sum(float(model.tables[j][bins[j]]) for j in range(len(x)))
+        for (i, j), pair in zip(model.pairs, model.pair_tables, strict=True):
+            total += float(pair[model.coarse[i][bins[i]]][model.coarse[j][bins[j]]])
+        score = 1 / (1 + math.exp(-max(-30, min(30, total))))
+        assert got[r.doc_id].score == pytest.approx(score, abs=1e-9) and got[r.doc_id].predicted == int(got[r.doc_id].score >= 0.5)
+        assert got[r.doc_id].held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
+
+
+def test_tree_takes_the_best_cut():
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        g, w = rng.normal(size=12), rng.uniform(0.5, 3, 12)
+        worth = lambda a, b: g[a:b].sum() ** 2 / (w[a:b].sum() + 1.0)  # noqa: B023, E731
+        best = max(range(1, 12), key=lambda c: worth(0, c) + worth(c, 12))
+        step = quality._shallow_tree(g, w, 2, 0.0)
+        if worth(0, best) + worth(best, 12) - worth(0, 12) > 1e-6:
+            assert step[:best] == pytest.approx(g[:best].sum() / (w[:best].sum() + 1)) and step[best:] == pytest.approx(g[best:].sum() / (w[best:].sum() + 1))
+
+
 def test_reruns_agree(spark, sf):
     first, second = ({r.doc_id: r.score for r in quality.op2_quality(spark, sf).collect()} for _ in range(2))
     assert first == second
