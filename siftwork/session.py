@@ -9,6 +9,10 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files go with the frames that they were written for.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Keys that streams hold are not kept on the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Model calls have side effects, so a second copy of a task must not start.
     "spark.speculation": "false",
     "spark.ui.enabled": "false",

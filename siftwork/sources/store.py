@@ -19,8 +19,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+#: The folder of each application, which goes when its JVM ends.
+_RUNS: dict[str, str] = {}
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder below the shared one, in one that is deleted when the session's JVM ends."""
+    application = spark.sparkContext.applicationId
+    if application not in _RUNS:
+        run = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+        fs, path = filesystem(spark, run)
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _RUNS[application] = run
+    return f"{_RUNS[application]}/{name}-{uuid.uuid4().hex}"
 
 
 def checkpoint(rows: DataFrame) -> DataFrame:
