@@ -28,6 +28,19 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of a scan's files that a task of an exchange gets at most, where there are more than its partitions.
+TASK_BYTES = 128 << 20
+
+
+def tasks_for(rows: DataFrame) -> int:
+    """Partitions of an exchange of ``rows``: as the session has them, or more for a scan whose files are large.
+
+    The size is the planner's (file sizes for a scan); where it knows none, the session's number holds.
+    """
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(partitions(rows.sparkSession), -(-size // TASK_BYTES) if size < 1 << 56 else 0)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 

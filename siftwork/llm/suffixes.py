@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint, partitions, table
+from .common import checkpoint, table, tasks_for
 from .deepshallow import first_of_class, sort_strings
 
 LENGTH, K = 100, 36
@@ -510,7 +510,7 @@ def remove_repeats(docs: DataFrame, carry: tuple[str, ...] = (), characters: boo
     spans are the maximal removed runs (start, length), in bytes; kept is what remains, joined. With
     ``characters`` the rest of a character that a cut has split is not kept either, so kept is UTF-8.
     """
-    tasks = partitions(docs.sparkSession)
+    tasks = tasks_for(docs)
     # Carried columns travel under numbers, so that none is named as one of these.
     named = {c: f"carried {k}" for k, c in enumerate(carry)}
     kinds = {c: docs.schema[c].dataType for c in carry}
