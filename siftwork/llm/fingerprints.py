@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import partitions, table
 
 #: Places on either side of a leaf's end at which no other leaf of the paragraph ends by content.
-REACH = 16
+REACH = 12
 #: Characters of a leaf at most: runs of one character have no ends of their own.
 MOST = 256
 #: A section ends after one paragraph in so many, on average.
@@ -72,8 +72,9 @@ def leaf_ends(lines: list[str]) -> list[list[int]]:
     least = mixed.copy()  # of the REACH places from each one on
     step = 1
     while step < REACH:
-        least[:-step] = np.minimum(least[:-step], least[step:])
-        step *= 2
+        more = min(step, REACH - step)
+        least[:-more] = np.minimum(least[:-more], least[more:])
+        step += more
     inner = slice(REACH, len(mixed) - REACH)
     ends = np.flatnonzero((mixed[inner] < least[: len(mixed) - 2 * REACH]) & (mixed[inner] <= least[REACH + 1 : len(mixed) - REACH + 1]) & (mixed[inner] != _NONE)) + 1
     starts = np.cumsum([0, *[len(x) + REACH for x in lines]])
