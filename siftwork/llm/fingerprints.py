@@ -209,7 +209,7 @@ def _shard(doc_id: Column, bounds: list[int]) -> Column:
     array = lambda x: F.array(*[F.lit(v).cast("long") for v in x])
     group = below(array([g[-1] for g in groups]))
     inside = F.coalesce(F.get(F.array(*[array(g) for g in groups]), group), array([]))
-    return F.when(doc_id.isNull(), F.lit(0)).otherwise(group * step + below(inside)).cast("int")
+    return F.when(doc_id.isNull(), F.lit(0)).otherwise(F.least(F.lit(len(bounds)), group * step + below(inside))).cast("int")
 
 
 def with_following(docs: DataFrame) -> tuple[DataFrame, int]:

@@ -113,3 +113,16 @@ def test_edited_tree_equals_a_fresh_one():
     text = "one\ntwo " * 40 + "three\n" + "x" * 300
     new, made = fp.edited(text, fp.paragraphs(text), "other\ntext " * 50)
     assert made == fp.paragraphs(new)
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 7, 31, 95])
+def test_shards_count_the_bounds_below(spark, n):
+    bounds = [3 * k for k in range(n)]
+    rows = spark.range(-2, 3 * n + 5).select("id", fp._shard(F.col("id"), bounds).alias("s")).collect()
+    assert all(r.s == sum(b < r.id for b in bounds) for r in rows)
+
+
+def test_last_range_may_open_a_shard(spark, frame):
+    pairs = [(k, "a" * (5000 if k >= 95 else 1)) for k in range(100)]
+    rows = fp.fingerprints(frame(pairs)).collect()
+    assert len(rows) == 100 and all(r.near_next == (0 if r.doc_id == 95 or r.doc_id == 0 else 1) for r in rows)
