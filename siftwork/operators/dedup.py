@@ -7,14 +7,22 @@ gathered or sorted in one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from fractions import Fraction
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from .. import constants as C
 from ..functions import text as T
+from ..rarity import cell_counts, cells
 
 
 def _with_first(rows: DataFrame, keys: list[Column], order: list[Column], name: str) -> DataFrame:
@@ -66,55 +74,172 @@ def last_wins(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("row")).select(*key, "row.*").select(*rows.columns)
 
 
-#: Rows whose words are counted for the order of rarity, and words that are told apart.
-SAMPLED, COUNTED = 20_000, 1 << 16
+#: Shared words by which two sets must meet, where their heads allow so many, and pairs that a task counts at once.
+MEETINGS, STEP = 4, 1 << 20
 
 
-def _word_counts(sets: DataFrame) -> dict[str, int]:
-    """How many rows of a sample hold each word that several do."""
-    part = max(1, sets.count() // SAMPLED)
-    sample = sets.where(F.pmod(F.xxhash64("g", "rep"), F.lit(part)) == 0).select(F.explode("words").alias("word"))
-    counted = sample.groupBy("word").count().where("count > 1").orderBy(F.desc("count"), "word").limit(COUNTED).toArrow()
-    return dict(zip(counted["word"].to_pylist(), counted["count"].to_pylist(), strict=True))
+class _WordHashes(dict):
+    """Hashes of words; so many of them are held."""
 
+    def __missing__(self, word: bytes) -> int:
+        value = xxhash.xxh64_intdigest(word)
+        if len(self) < 1 << 18:
+            self[word] = value
+        return value
 
-def _rare_first(counts: dict[str, int]):
-    @F.pandas_udf("array<string>")
-    def order(words: pd.Series) -> pd.Series:
-        return pd.Series([sorted(w, key=lambda x: (counts.get(x, 0), x)) for w in words])
 
-    return order
+def _word_sets(rows: DataFrame) -> DataFrame:
+    """(g, id, digest, words) of ``rows`` (g, id, text) that have words: those of ``question_tokens``, sorted and compressed.
+
+    The dotted capital I is an i in SQL's lower case. Equal sets have equal digests (128 bits).
+    """
+    stop = frozenset(C.QUESTION_STOP_WORDS)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, packer = re.compile("[a-z0-9]{3,}").findall, zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            joined = [" ".join(sorted(set(find((text.as_py() or "").replace("\u0130", "i").lower())) - stop)).encode() for text in batch.column(2)]
+            some = pa.array([bool(x) for x in joined], pa.bool_())
+            digests = pa.array([xxhash.xxh3_128_digest(x) for x in joined if x], pa.binary())
+            packed = pa.array([packer.compress(x) for x in joined if x], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(some), batch.column(1).filter(some), digests, packed], ["g", "id", "digest", "words"])
+
+    return rows.mapInArrow(build, StructType([*rows.schema.fields[:2], StructField("digest", BinaryType()), StructField("words", BinaryType())]))
+
+
+def _hashes_of_words():
+    """A function that gives the word hashes of each set of a batch, whose last column has the words."""
+    unpacker, hashes = zstandard.ZstdDecompressor(), _WordHashes()
+
+    def of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for packed in batch.columns[-1].to_pylist():
+            words = unpacker.decompress(packed).split()
+            yield np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+
+    return of
+
+
+def _kept(sizes, share: Fraction):
+    """Words of a set that are its head: one more than it may have besides those it shares with a similar set."""
+    return sizes - -(-share.numerator * sizes // share.denominator) + 1
+
+
+def _heads(classes: DataFrame, counts: np.ndarray, share: Fraction) -> DataFrame:
+    """(key, node, n, place) of the words of each head, rare ones first; words that no other set has are left out."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = _hashes_of_words()
+        for batch in batches:
+            salts, nodes = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+            found = []
+            for own, salt in zip(of(batch), salts, strict=True):
+                seen = counts[cells(own)]
+                first = np.lexsort((own, seen))[: _kept(len(own), share)]
+                place = np.flatnonzero(seen[first] > 1)
+                found.append((own[first[place]] + salt, np.full(len(place), len(own), np.int32), place.astype(np.int32)))
+            if found:
+                keys, sizes, places = (np.concatenate(x) for x in zip(*found, strict=True))
+                owner = np.repeat(nodes, [len(x[0]) for x in found]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(owner), pa.array(sizes), pa.array(places)], ["key", "node", "n", "place"])
+
+    return classes.select(F.xxhash64("g").alias("salt"), "node", "words").mapInArrow(build, "key long, node long, n int, place int")
+
+
+def _meeting(heads: DataFrame, share: Fraction) -> DataFrame:
+    """(u, v): pairs of sets that may be similar.
+
+    Two similar sets share ``need`` words at least. A word counts where ``need`` less ``least`` and one more are left from it on in
+    both; the words that don't count are ``need`` less ``least`` at most, so ``least`` words count. All keys are visited at once by the
+    distance of rows in order of size, so memory stays in proportion to the rows.
+    """
+    a, b = share.numerator, share.denominator
+
+    def counted(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        u, v, least = (np.concatenate(x) for x in zip(*found, strict=True))
+        found.clear()
+        order = np.lexsort((v, u))
+        u, v, least = u[order], v[order], least[order]
+        start = np.flatnonzero(np.concatenate([[True], (u[1:] != u[:-1]) | (v[1:] != v[:-1])]))
+        met = np.diff(np.append(start, len(u)))
+        return pa.RecordBatch.from_arrays([pa.array(u[start]), pa.array(v[start]), pa.array(least[start]), pa.array(met)], ["u", "v", "least", "met"])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = [x for x in batches if x.num_rows]
+        if not batches:
+            return
+        key, node, n, place = (c.to_numpy() for c in pa.Table.from_batches(batches).columns)
+        order = np.lexsort((node, n, key))
+        key, node, n, place = key[order], node[order], n[order].astype(np.int64), place[order]
+        left, hidden = n - place, n - _kept(n, share)
+        rows, shift, found, held = np.arange(len(key)), 1, [], 0
+        while len(rows):
+            rows = rows[rows + shift < len(key)]
+            other = rows + shift
+            # Sizes rise within a key: a row that is too small for this one is so for all that follow.
+            rows = rows[(key[rows] == key[other]) & (n[rows] * b >= n[other] * a)]
+            for k in range(0, len(rows), STEP):
+                x = rows[k : k + STEP]
+                y = x + shift
+                need = -(-a * (n[x] + n[y]) // (a + b))
+                least = np.minimum(MEETINGS, need - np.maximum(hidden[x], hidden[y]))
+                fits = (np.minimum(left[x], left[y]) > need - least) & (node[x] != node[y])
+                u, v = node[x[fits]], node[y[fits]]
+                found.append((np.minimum(u, v), np.maximum(u, v), least[fits].astype(np.int32)))
+                held += len(u)
+                if held >= STEP:
+                    yield counted(found)
+                    held = 0
+            shift += 1
+        if held:
+            yield counted(found)
+
+    parts = int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = heads.repartition(parts, "key").mapInArrow(find, "u long, v long, least int, met long")
+    return met.groupBy("u", "v").agg(F.sum("met").alias("met"), F.min("least").alias("least")).where("met >= least").select("u", "v")
+
+
+def _overlaps(pairs: DataFrame) -> DataFrame:
+    """(g, left, right, overlap) of ``pairs`` (g, left, right, a, b: the words of both)."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker, last, words = zstandard.ZstdDecompressor(), None, set()
+        for batch in batches:
+            out = []
+            for a, b in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                if b != last:
+                    last, words = b, set(unpacker.decompress(b).split())
+                others = unpacker.decompress(a).split()
+                both = len(words.intersection(others))
+                out.append(both / (len(words) + len(others) - both))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.float64())], ["g", "left", "right", "overlap"])
+
+    return pairs.mapInArrow(compare, StructType([*pairs.schema.fields[:3], StructField("overlap", DoubleType())]))
 
 
 def similar_pairs(rows: DataFrame, group: str, row_id: str, text: Column, threshold: float = C.SIMILAR) -> DataFrame:
     """Pairs of one group whose word sets overlap by the threshold: (group, left, right, overlap).
 
-    Prefix filtering: with words in one order, two sets that overlap by t share a word among the first
+    Prefix filtering: with words in one order, two sets that overlap by t share words among the first
     n - ceil(t n) + 1 of each, so rows meet only under their rare words and no group is crossed with itself.
-    Rows of one word set are compared once, through its smallest id; the others are paired with that id.
+    The order is by counts over all sets. Rows of one word set are compared once, through its smallest id; the others
+    are paired with that id. A null group or id is in no pair.
     """
-    sets = rows.select(F.col(group).alias("g"), F.col(row_id).alias("id"), F.array_sort(T.question_tokens(text)).alias("words")).where(F.size("words") > 0)
-    classes = sets.groupBy("g", "words").agg(F.min("id").alias("rep"))
-    members = sets.join(classes, ["g", "words"]).where("id > rep").select("g", F.col("rep").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("overlap"))
-    # Any fixed order of words will do; rare words first lets few rows meet. Counts of a sample set it.
-    ordered = classes.select("g", "rep", _rare_first(_word_counts(classes))("words").alias("words"))
-    size = F.size("words")
-    head = F.slice("words", F.lit(1), (size - F.ceil(threshold * size) + 1).cast("int"))
-    heads = ordered.select("g", "rep", size.alias("size"), F.posexplode(head).alias("place", "word")).withColumn("word", F.xxhash64("word"))
-    left, right = heads.alias("a"), heads.alias("b")
-    # Sets of very different sizes cannot overlap enough, nor can sets whose first shared word comes so late
-    # that too few words are left; the tolerance keeps rounding from deciding.
-    share = F.lit(threshold / (1 + threshold) - 1e-9)
-    left_over = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place"))
-    fits = (F.col("a.size") >= threshold * F.col("b.size")) & (F.col("b.size") >= threshold * F.col("a.size")) & (left_over >= share * (F.col("a.size") + F.col("b.size")))
-    met = left.join(right, (F.col("a.g") == F.col("b.g")) & (F.col("a.word") == F.col("b.word")) & (F.col("a.rep") < F.col("b.rep")) & fits)
-    pairs = met.groupBy(F.col("a.g").alias("g"), F.col("a.rep").alias("left"), F.col("b.rep").alias("right")).agg(F.count("*").alias("met"))
+    from ..sources.store import checkpoint
+
+    share = Fraction(str(threshold))
+    plain = rows.select(F.col(group).alias("g"), F.col(row_id).alias("id"), text.alias("text")).where("g IS NOT NULL AND id IS NOT NULL")
+    sets = checkpoint(_word_sets(plain))
+    classes = sets.groupBy("g", "digest").agg(F.min("id").alias("rep"), F.first("words").alias("words"))
+    classes = checkpoint(classes.withColumn("node", F.xxhash64("g", "digest")))
+    reps = classes.select(F.col("g").alias("of"), F.col("digest").alias("as"), "rep")
+    members = sets.join(reps, (F.col("g") == F.col("of")) & (F.col("digest") == F.col("as")) & (F.col("id") > F.col("rep")))
+    members = members.select("g", F.col("rep").alias("left"), F.col("id").alias("right"), F.lit(1.0).alias("overlap"))
+    pairs = checkpoint(_meeting(_heads(classes, cell_counts(classes.select("words"), _hashes_of_words), share), share))
     # Each pair once gets its sets and is compared in full.
-    sides = [ordered.select(F.col("g").alias(f"g of {n}"), F.col("rep").alias(f"id of {n}"), F.col("words").alias(f"words of {n}")) for n in ("left", "right")]
-    for side, n in zip(sides, ("left", "right"), strict=True):
-        pairs = pairs.join(side, (F.col("g") == F.col(f"g of {n}")) & (F.col(n) == F.col(f"id of {n}")))
-    found = pairs.select("g", "left", "right", T.jaccard(F.col("words of left"), F.col("words of right")).alias("overlap"))
-    return found.where(F.col("overlap") >= threshold).union(members).withColumnRenamed("g", group)
+    side = lambda n: classes.select(F.col("node").alias(n), F.struct("g", "rep", "words").alias(f"class {n}"))
+    met = pairs.join(side("u"), "u").join(side("v"), "v").where("`class u`.g = `class v`.g AND `class u`.rep <> `class v`.rep")
+    met = met.select("class u.g", F.least("class u.rep", "class v.rep").alias("left"), F.greatest("class u.rep", "class v.rep").alias("right"), F.col("class u.words").alias("a"), F.col("class v.words").alias("b"))
+    return _overlaps(met).where(F.col("overlap") >= threshold).union(members).withColumnRenamed("g", group)
 
 
 def too_similar(words: set[str], accepted: list[set[str]], threshold: float = C.SIMILAR) -> bool:
