@@ -36,6 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..rarity import cell_counts, cells
 from .common import checkpoint, partitions, table
 from .components import components
 
@@ -230,8 +231,8 @@ def near_duplicates(docs: DataFrame, width: int = 4, bits: int = 4) -> DataFrame
 WIDE, MANY, FAR, FAR_OF_FEW = 4, 16, 72, 80
 #: Reference fingerprints whose distances travel with a wide fingerprint, 16 bits each.
 COORDINATES = 4
-#: Rows whose shingles are counted for the order of rarity, least count and number of those that are told apart.
-SAMPLE, FEW, COMMON = 20_000, 2, 1 << 17
+#: Count, beside twice a cell's mean, up to which the rows of a key are gathered in one task.
+OFTEN = 64
 #: Nodes of a block of a group, and owners up to which an element's pairs are counted one by one.
 BLOCK, FEW_OWNERS = 256, 12
 #: Words whose hashes a task holds.
@@ -280,49 +281,40 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes, counts) of shingles that several texts of a sample of ``docs`` (text) hold, by hash.
+def shingle_counts(docs: DataFrame, width: int) -> np.ndarray:
+    """How many texts of ``docs`` (text), all of them, hold the shingles of each cell.
 
     They only set the order in which shingles are taken as keys, never which pairs are found.
     """
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_batches():
         hashes = WordHashes()
-        for batch in batches:
-            sets = [shingle_set(words_of(text.as_py()), width, hashes) for text in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64))], ["h"])
+        return lambda batch: (shingle_set(words_of(text.as_py()), width, hashes) for text in batch.column(0))
 
-    part = max(1, docs.count() // SAMPLE)
-    sample = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(part)) == 0)
-    counted = sample.mapInArrow(build, "h long").groupBy("h").count().where(F.col("count") >= FEW)
-    rows = counted.orderBy(F.desc("count"), "h").limit(COMMON).toArrow()
-    hashes, counts = rows["h"].to_numpy().view(np.uint64), rows["count"].to_numpy()
-    order = np.argsort(hashes)
-    return hashes[order], counts[order]
+    return cell_counts(docs.select("text"), of_batches)
 
 
-def signed(docs: DataFrame, width: int, share: Fraction, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def signed(docs: DataFrame, width: int, share: Fraction, counted: np.ndarray) -> DataFrame:
     """Each row of ``docs`` (doc_id, key, text) with what near-duplicate search needs of its text.
 
     Returns doc_id, key, node (a hash of the text's words, so copies are one node), n (distinct
     shingles), f0 .. (the wide fingerprint of the distinct shingles), coordinates (its distances to
-    the reference fingerprints), words (compressed), and the keys, ``hot`` (common in the sample) and
-    ``rare``: shingles that two sets of Jaccard ``share`` cannot both be without. All rows sort their n
-    shingles alike, rare ones first; two sets that share at least share * n have one of the first
-    n - ceil(share * n) + 1 in common.
+    the reference fingerprints), words (compressed), and the keys, ``hot`` (of a cell that counts far more
+    than most) and ``rare``: shingles that two sets of Jaccard ``share`` cannot both be without. All rows sort
+    their n shingles alike, by the counts of their cells (``counted``, over all rows); two sets that share at
+    least share * n have one of the first n - ceil(share * n) + 1 in common. A shingle whose cell counts one
+    is in no other text and is no key.
     """
     names = ["doc_id", "key", "node", "n", *[f"f{w}" for w in range(WIDE)], "coordinates", "words", "hot", "rare"]
     pivots = PIVOTS[:COORDINATES, :WIDE]
+    often = OFTEN + 2 * int(counted.mean())
 
     def split(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         kept = len(own) and len(own) + 1 - math.ceil(share * len(own))
-        if not kept or not len(common[0]):
-            return own[:0], own[:kept]
-        at = np.minimum(np.searchsorted(common[0], own), len(common[0]) - 1)
-        seen = np.where(common[0][at] == own, common[1][at], 0)
+        seen = counted[cells(own)]
         first = np.argsort(seen, kind="stable")[:kept]
-        often = seen[first] > 0
-        return own[first[often]], own[first[~often]]
+        seen = seen[first]
+        return own[first[seen > often]], own[first[(seen > 1) & (seen <= often)]]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer, hashes = zstandard.ZstdCompressor(level=1), WordHashes()
@@ -358,8 +350,8 @@ def signed(docs: DataFrame, width: int, share: Fraction, common: tuple[np.ndarra
 def shared_keys(marked: DataFrame) -> DataFrame:
     """(key, node) of all keys that several nodes have.
 
-    Keys that are common in the sample go on as they are; only the others, none of which has many rows,
-    are gathered by key.
+    Keys of cells that count much go on as they are; only the others, none of which has many texts, are
+    gathered by key.
     """
     exploded = lambda column: marked.select(F.explode(column).alias("key"), "node")
     by_key = Window.partitionBy("key")
@@ -546,8 +538,8 @@ def one_of_each(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> Dat
     if share < Fraction(4, 5):
         raise ValueError("the distance limit of the wide fingerprints is for a similarity of 0.8 or more")
     keyed = docs.withColumn("row key", F.xxhash64("doc_id", "text"))
-    common = common_shingles(docs, width)
-    marked = checkpoint(signed(keyed.select("doc_id", F.col("row key").alias("key"), "text"), width, share, common))
+    counted = shingle_counts(docs, width)
+    marked = checkpoint(signed(keyed.select("doc_id", F.col("row key").alias("key"), "text"), width, share, counted))
     wide = ["n", *[f"f{w}" for w in range(WIDE)], "coordinates"]
     least = marked.groupBy("node").agg(F.min(F.struct("doc_id", "key", *wide)).alias("least"))
     nodes = checkpoint(least.select("node", F.struct("least.doc_id", "least.key").alias("least"), *[F.col(f"least.{c}").alias(c) for c in wide]))
